@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelweft.catalog import allocation, series
+from panelweft.catalog import allocation, filling, series, sources, spatial, world
 
-MODULES = (series, allocation)
+MODULES = (sources, series, allocation, filling, spatial, world)
 
 
 def all_queries():

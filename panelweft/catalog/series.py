@@ -45,11 +45,11 @@ def _annual(spark, d):
 
 def _growths(spark, d):
     a, b = _annual(spark, d)
-    lead = series.growth_since(a, KEY, 1996)
+    lead = materialise(series.growth_since(a, KEY, 1996), "lead")
     late = series.bridge_and_chain(lead, b, KEY, 1998).unionByName(
         series.bridge_alone(lead, b, KEY, 1998, 2001)
     )
-    return lead, late
+    return lead, materialise(late, "late")
 
 
 def _shown(df, digits=9):
@@ -57,7 +57,7 @@ def _shown(df, digits=9):
 
 
 def growth_to_base(spark, d):
-    return _shown(_growths(spark, d)[0])
+    return _shown(series.growth_since(_annual(spark, d)[0], KEY, 1996))
 
 
 def bridge_chain(spark, d):
@@ -80,7 +80,8 @@ def cross_fill(spark, d):
 
 
 def _covered(spark, d):
-    return series.fill_uncovered(_crossed(spark, d), src.homes(spark, d), "country")
+    crossed = materialise(_crossed(spark, d), "crossed")
+    return series.fill_uncovered(crossed, src.homes(spark, d), "country")
 
 
 def fill_uncovered(spark, d):
