@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelweft.catalog import allocation, filling, series, sources, spatial, world
+from panelweft.catalog import allocation, filling, gates, series, sources, spatial, world
 
-MODULES = (sources, series, allocation, filling, spatial, world)
+MODULES = (sources, series, allocation, filling, spatial, gates, world)
 
 
 def all_queries():

@@ -104,6 +104,15 @@ def keep_uncontrolled(
     return idle.withColumnRenamed(weight, out)
 
 
+def weighted_means(
+    df: DataFrame, by: Sequence[str], value: str, weight: str, out: str = "mean"
+) -> DataFrame:
+    """Weighted mean per group over rows with a value and a positive weight."""
+    usable = df.where(F.col(value).isNotNull() & (F.col(weight) > 0))
+    mean = F.sum(F.col(value) * F.col(weight)) / F.sum(weight)
+    return usable.groupBy(*by).agg(mean.alias(out))
+
+
 def reconcile_weighted_mean(
     df: DataFrame,
     target: DataFrame,
@@ -118,16 +127,41 @@ def reconcile_weighted_mean(
     Years before `since` and country-years without a target stay as they
     are; regions without weight are scaled along with their country."""
     at = [*keys, time]
-    usable = df.where(
-        (F.col(time) >= since) & F.col(value).isNotNull() & (F.col(weight) > 0)
-    )
-    means = usable.groupBy(*at).agg(
-        (F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("__mean")
-    )
     factors = (
-        means.where(F.col("__mean") > 0)
+        weighted_means(df.where(F.col(time) >= since), at, value, weight, "__mean")
+        .where(F.col("__mean") > 0)
         .join(target.select(*at, target_value), at)
         .select(*at, (F.col(target_value) / F.col("__mean")).alias("__factor"))
     )
     scaled = F.col(value) * F.coalesce(F.col("__factor"), F.lit(1.0))
     return df.join(factors, at, "left").withColumn(value, scaled).drop("__factor")
+
+
+def reconcile_growth(
+    growth: DataFrame,
+    start: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    within: Sequence[str] = (),
+    time: str = "year",
+    value: str = "value",
+    weight: str = "weight",
+    target_value: str = "target",
+    growth_value: str = "growth",
+) -> DataFrame:
+    """The same scaling for regions that all move with one national growth
+    path and keep their share of the weight: each country's weighted mean is
+    then its starting mean times the growth, so the path itself can be set
+    to target / starting mean and no region-year row is touched. `start` has
+    one row per region."""
+    keys, full = list(keys), [*within, *keys]
+    mean = weighted_means(start, keys, value, weight, "__mean")
+    level = F.col("__mean") * F.col(growth_value)
+    fitted = F.when(
+        (level > 0) & F.col(target_value).isNotNull(), F.col(target_value) / F.col("__mean")
+    ).otherwise(F.col(growth_value))
+    return (
+        growth.join(mean, keys, "left")
+        .join(target.select(*full, time, target_value), [*full, time], "left")
+        .select(*full, time, fitted.alias(growth_value))
+    )

@@ -134,20 +134,21 @@ def override_path(
 
 
 def extend_spine(
-    df: DataFrame, ids: Sequence[str], first: int, last: int, time: str = "year"
+    df: DataFrame, ids: DataFrame, first: int, last: int, time: str = "year"
 ) -> DataFrame:
-    """Empty rows for first..last for every id of the frame."""
-    empty = (
-        df.select(*ids)
-        .distinct()
-        .withColumn(time, F.explode(F.sequence(F.lit(first), F.lit(last))))
-    )
+    """Empty rows for first..last for every id, ahead of the frame."""
+    empty = ids.distinct().withColumn(time, F.explode(F.sequence(F.lit(first), F.lit(last))))
     return empty.unionByName(df, allowMissingColumns=True).select(*df.columns)
 
 
 def period_mean(
     region: Sequence[str], first: int, last: int, time: str = "year", value: str = "value"
 ) -> Column:
-    """Window column: a region's own mean over a period, gaps skipped."""
+    """Window column: a region's own mean over a period, gaps skipped. The
+    window is ordered by time so that it shares its sort with the smoothing
+    windows; the frame is the whole series."""
     inside = F.when(F.col(time).between(first, last), F.col(value))
-    return F.avg(inside).over(Window.partitionBy(*region))
+    whole = Window.partitionBy(*region).orderBy(time)
+    return F.avg(inside).over(
+        whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )

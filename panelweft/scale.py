@@ -100,6 +100,12 @@ def exact_median(df: DataFrame, value: str, into: str = "median") -> DataFrame:
     )
 
 
+def share_partitioning(spark: SparkSession) -> None:
+    """Let a join use a partitioning on some of its keys, so that frames laid
+    out by region are not shuffled again to be joined by region and year."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """Raise if a key occurs twice; otherwise hand the frame back."""
     twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
