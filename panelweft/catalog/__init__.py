@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from panelweft.catalog import allocation, filling, gates, series, sources, spatial, world
+from panelweft.catalog import (
+    allocation,
+    comparison,
+    filling,
+    gates,
+    series,
+    sources,
+    spatial,
+    world,
+    writing,
+)
 
-MODULES = (sources, series, allocation, filling, spatial, gates, world)
+MODULES = (sources, series, allocation, filling, spatial, gates, comparison, writing, world)
 
 
 def all_queries():
