@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelweft.catalog import inputs as src
 from panelweft.catalog.inputs import knots_sql, sql
 from panelweft.operators import allocate, cohorts, series
+from panelweft.scale import materialise
 
 KEY = ["country"]
 PARTS = {"a": "share_a", "n": "share_n", "r": "share_r"}
@@ -37,10 +38,9 @@ def freeze_uncontrolled(spark, d):
 def allocate_and_freeze(spark, d):
     """Interpolate national knots, allocate them to regions by weight, keep
     the rest at their weight, and compare national sums with the control."""
-    weights, control = _weights(spark, d), _annual_control(spark, d)
-    rows = allocate.allocate_fixed(weights, control, KEY).unionByName(
-        allocate.freeze_uncontrolled(weights, control, KEY)
-    )
+    weights = _weights(spark, d)
+    control = materialise(_annual_control(spark, d), "control")
+    rows = allocate.allocate_or_freeze(weights, control, KEY)
     sums = rows.groupBy("country", "year").agg(
         F.count(F.lit(1)).alias("n_regions"), F.sum("value").alias("allotted")
     )
@@ -66,6 +66,13 @@ def allocate_yearly(spark, d):
     return _rounded(allocate.allocate_yearly(_yearly_weights(spark, d), control, KEY))
 
 
+def allocate_or_keep(spark, d):
+    """Yearly allocation and kept rows in one pass."""
+    control = src.revenue(spark, d).where("nationkey % 4 <> 0 and year <> 1997")
+    control = materialise(control, "control")
+    return _rounded(allocate.allocate_or_keep(_yearly_weights(spark, d), control, KEY))
+
+
 def keep_uncontrolled(spark, d):
     control = src.revenue(spark, d).where("nationkey % 4 <> 0")
     return _rounded(allocate.keep_uncontrolled(_yearly_weights(spark, d), control, KEY))
@@ -218,6 +225,20 @@ GROUP BY 1, 2""",
             tail=_SHOW + "k",
         ),
     ),
+    "allocate_or_keep": (
+        allocate_or_keep,
+        sql(
+            "raw_values",
+            "revenue",
+            w="SELECT region, country, nationkey, year, raw * (year % 3) AS weight FROM raw_values",
+            sums="SELECT country, year, sum(weight) AS s FROM w GROUP BY 1, 2",
+            a="""SELECT region, w.country, w.year, CASE WHEN s > 0 THEN weight / s ELSE 0 END * total AS value
+  FROM w JOIN sums USING (country, year)
+  JOIN (SELECT * FROM revenue WHERE nationkey % 4 <> 0 AND year <> 1997) USING (country, year)
+  UNION ALL SELECT region, country, year, weight FROM w WHERE nationkey % 4 = 0""",
+            tail=_SHOW + "a",
+        ),
+    ),
     "backfill_constant": (
         backfill_constant,
         sql(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelweft.catalog import inputs as src
 from panelweft.catalog.inputs import sql
 from panelweft.operators import fill, smooth
+from panelweft.scale import bounded, materialise
 
 KEY = ["country"]
 
@@ -18,7 +19,8 @@ def _calibrated(spark, d):
     )
     level = src.control(spark, d).where("nationkey % 3 <> 1 and not (nationkey = 5 and year < 1998)")
     level = level.select("country", "year", (F.col("total") / 2).alias("level"))
-    joined = raw.join(shape, ["country", "year"], "left").join(level, ["country", "year"], "left")
+    national = bounded(shape.join(level, ["country", "year"], "full"))
+    joined = raw.join(national, ["country", "year"], "left")
     return joined.withColumn("value", fill.calibrate_share("raw", "shape", "level"))
 
 
@@ -42,8 +44,11 @@ def row_fallback(spark, d):
     regions = src.regions(spark, d).select("region", "country", "weight")
     spine = regions.withColumn("year", F.explode(F.sequence(F.lit(1995), F.lit(2001))))
     raw = src.raw_values(spark, d).select("region", "year", "raw")
-    level = src.control(spark, d).where("nationkey % 3 <> 1").select(
-        "country", "year", F.col("total").alias("level")
+    level = materialise(
+        src.control(spark, d).where("nationkey % 3 <> 1").select(
+            "country", "year", F.col("total").alias("level")
+        ),
+        "level",
     )
     shape = src.revenue(spark, d).where("nationkey % 2 = 0").select(
         "country", "year", F.col("total").alias("shape")
@@ -51,9 +56,8 @@ def row_fallback(spark, d):
     typical = level.groupBy("year").agg(F.avg("level").alias("typical"))
     rows = (
         spine.join(raw, ["region", "year"], "left")
-        .join(level, ["country", "year"], "left")
-        .join(shape, ["country", "year"], "left")
-        .join(typical, "year", "left")
+        .join(bounded(shape.join(level, ["country", "year"], "full")), ["country", "year"], "left")
+        .join(bounded(typical), "year", "left")
         .withColumn("value", F.col("raw"))
     )
     empty = F.col("raw").isNull() & (F.col("weight") > 50000)

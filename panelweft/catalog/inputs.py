@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelweft.operators.zonal import Grid
 
@@ -16,8 +17,15 @@ GRID = Grid(x0=-150.0, y_top=60.0, res_x=2.5, res_y=2.5, n_rows=48, n_cols=120)
 WEIGHT_YEAR = 1998
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its schema is read from the files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def cents(col) -> F.Column:

@@ -2,7 +2,8 @@
 
 Country sums are plain grouped aggregates (partially summed before the
 shuffle) joined back to the regions, not windows over a country: one country
-may hold a large part of all regions.
+may hold a large part of all regions. `lookup` prepares the national side of
+each join; by default it is staged, measured, and broadcast if small.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelweft.scale import bounded
+
 
 def allocate_fixed(
     weights: DataFrame,
@@ -22,6 +25,7 @@ def allocate_fixed(
     total: str = "total",
     unit: float = 1.0,
     out: str = "value",
+    lookup=bounded,
 ) -> DataFrame:
     """weight / country weight * total, for every year of the control.
     `weights` has one row per region; a zero weight sum gives NULL."""
@@ -29,7 +33,7 @@ def allocate_fixed(
     sums = weights.groupBy(*keys).agg(F.sum(weight).alias("__sum"))
     national = control.select(*keys, time, total).join(sums, keys)
     share = F.try_divide(F.col(weight) * (F.col(total) * unit), F.col("__sum"))
-    return weights.join(national, keys).withColumn(out, share).drop(weight, total, "__sum")
+    return weights.join(lookup(national), keys).withColumn(out, share).drop(weight, total, "__sum")
 
 
 def freeze_uncontrolled(
@@ -40,14 +44,15 @@ def freeze_uncontrolled(
     weight: str = "weight",
     out: str = "value",
     within: Sequence[str] = (),
+    lookup=bounded,
 ) -> DataFrame:
     """Regions of countries without any control keep their weight as value
     from the control's first to its last year."""
     keys, within = list(keys), list(within)
-    idle = weights.join(control.select(*keys).distinct(), keys, "left_anti")
+    idle = weights.join(lookup(control.select(*keys).distinct()), keys, "left_anti")
     span = [F.min(time).alias("__lo"), F.max(time).alias("__hi")]
     if within:
-        idle = idle.join(control.groupBy(*within).agg(*span), within)
+        idle = idle.join(lookup(control.groupBy(*within).agg(*span)), within)
     else:
         idle = idle.withColumn("__lo", control.agg(span[0]).scalar()).withColumn(
             "__hi", control.agg(span[1]).scalar()
@@ -78,6 +83,7 @@ def allocate_yearly(
     total: str = "total",
     unit: float = 1.0,
     out: str = "value",
+    lookup=bounded,
 ) -> DataFrame:
     """Like allocate_fixed with each year's own weights; a zero weight sum
     gives 0, a year without control gives no row."""
@@ -86,7 +92,7 @@ def allocate_yearly(
     national = control.select(*at, total).join(sums, at)
     share = F.when(F.col("__sum") > 0, F.col(weight) / F.col("__sum")).otherwise(F.lit(0.0))
     return (
-        weights.join(national, at)
+        weights.join(lookup(national), at)
         .withColumn(out, share * F.col(total) * unit)
         .drop(weight, total, "__sum")
     )
@@ -98,12 +104,77 @@ def keep_uncontrolled(
     keys: Sequence[str],
     weight: str = "weight",
     out: str = "value",
+    lookup=bounded,
 ) -> DataFrame:
     """Rows of countries that have no control in any year, weight as value."""
-    idle = weights.join(control.select(*keys).distinct(), list(keys), "left_anti")
+    idle = weights.join(lookup(control.select(*keys).distinct()), list(keys), "left_anti")
     return idle.withColumnRenamed(weight, out)
 
 
+def allocate_or_freeze(
+    weights: DataFrame,
+    control: DataFrame,
+    keys: Sequence[str],
+    within: Sequence[str] = (),
+    time: str = "year",
+    weight: str = "weight",
+    total: str = "total",
+    unit: float = 1.0,
+    out: str = "value",
+    lookup=bounded,
+) -> DataFrame:
+    """`allocate_fixed` and `freeze_uncontrolled` in one pass over the
+    regions: the national table also lists the countries without control,
+    for every year of the control and with no total."""
+    keys, within = list(keys), list(within)
+    sums = weights.groupBy(*keys).agg(F.sum(weight).alias("__sum"))
+    spans = control.groupBy(*within).agg(F.sequence(F.min(time), F.max(time)).alias("__years"))
+    idle = sums.join(control.select(*keys).distinct(), keys, "left_anti")
+    if within:
+        idle = idle.join(spans, within)
+    else:
+        idle = idle.withColumn("__years", spans.scalar())
+    idle = idle.select(
+        *keys, "__sum", F.explode("__years").alias(time), F.lit(None).cast("double").alias(total)
+    )
+    national = sums.join(control.select(*keys, time, total), keys).unionByName(idle)
+    return _spread(weights, lookup(national), keys, weight, total, unit, out, guarded=False)
+
+
+def allocate_or_keep(
+    weights: DataFrame,
+    control: DataFrame,
+    keys: Sequence[str],
+    time: str = "year",
+    weight: str = "weight",
+    total: str = "total",
+    unit: float = 1.0,
+    out: str = "value",
+    lookup=bounded,
+) -> DataFrame:
+    """`allocate_yearly` and `keep_uncontrolled` in one pass over the
+    regions."""
+    at = [*keys, time]
+    sums = weights.groupBy(*at).agg(F.sum(weight).alias("__sum"))
+    idle = sums.join(control.select(*keys).distinct(), list(keys), "left_anti")
+    idle = idle.withColumn(total, F.lit(None).cast("double"))
+    national = sums.join(control.select(*at, total), at).unionByName(idle.select(*at, "__sum", total))
+    return _spread(weights, lookup(national), at, weight, total, unit, out, guarded=True)
+
+
+def _spread(weights, national, on, weight, total, unit, out, guarded):
+    """Region values from a national table; no total means the weight stays."""
+    if guarded:
+        share = F.when(F.col("__sum") > 0, F.col(weight) / F.col("__sum")).otherwise(F.lit(0.0))
+        value = share * F.col(total) * unit
+    else:
+        value = F.try_divide(F.col(weight) * (F.col(total) * unit), F.col("__sum"))
+    kept = F.when(F.col(total).isNull(), F.col(weight)).otherwise(value)
+    return weights.join(national, list(on)).withColumn("__value", kept).drop(
+        weight, total, "__sum"
+    ).withColumnRenamed("__value", out)
+
+
 def weighted_means(
     df: DataFrame, by: Sequence[str], value: str, weight: str, out: str = "mean"
 ) -> DataFrame:
@@ -122,6 +193,7 @@ def reconcile_weighted_mean(
     value: str = "value",
     weight: str = "weight",
     target_value: str = "target",
+    lookup=bounded,
 ) -> DataFrame:
     """Scale each country-year so that its weighted mean equals the target.
     Years before `since` and country-years without a target stay as they
@@ -134,7 +206,7 @@ def reconcile_weighted_mean(
         .select(*at, (F.col(target_value) / F.col("__mean")).alias("__factor"))
     )
     scaled = F.col(value) * F.coalesce(F.col("__factor"), F.lit(1.0))
-    return df.join(factors, at, "left").withColumn(value, scaled).drop("__factor")
+    return df.join(lookup(factors), at, "left").withColumn(value, scaled).drop("__factor")
 
 
 def reconcile_growth(

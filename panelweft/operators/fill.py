@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweft.functions.columns import as_col
+from panelweft.scale import bounded
 
 
 def calibrate_share(raw, shape, level) -> Column:
@@ -17,14 +18,14 @@ def calibrate_share(raw, shape, level) -> Column:
 
 
 def fallback_whole_group(
-    df: DataFrame, group: Sequence[str], value: str, instead: Column
+    df: DataFrame, group: Sequence[str], value: str, instead: Column, lookup=bounded
 ) -> DataFrame:
     """Fill from `instead` only in groups without a single value; a group
     that has some values is left with its gaps."""
     group = list(group)
     has = df.groupBy(*group).agg(F.count(value).alias("__n"))
     filled = F.when(F.col("__n") == 0, instead).otherwise(F.col(value))
-    return df.join(has, group).withColumn(value, filled).drop("__n")
+    return df.join(lookup(has), group).withColumn(value, filled).drop("__n")
 
 
 def fallback_chain(df: DataFrame, value: str, where: Column, *choices) -> DataFrame:
@@ -48,13 +49,14 @@ def roll_forward(
     default: Column,
     time: str = "year",
     value: str = "value",
+    lookup=bounded,
 ) -> DataFrame:
     """The rows of year `last` moved one year ahead by the first growth that
     covers their key, else by the default."""
     ahead = df.where(F.col(time) == last)
     names = []
     for frame, name in growths:
-        ahead = ahead.join(frame, [k for k in keys if k in frame.columns], "left")
+        ahead = ahead.join(lookup(frame), [k for k in keys if k in frame.columns], "left")
         names.append(name)
     rate = F.coalesce(*names, default)
     return (
@@ -99,6 +101,7 @@ def override_path(
     raw_value: str = "raw",
     shape: str = "shape",
     path_value: str = "path",
+    lookup=bounded,
 ) -> DataFrame:
     """Replace a group's rows from year `first` on: regional shape times the
     given national path, and in year `last` the previous year's value moved
@@ -107,6 +110,7 @@ def override_path(
     `raw` carries, per region and year, the raw value and the national shape.
     """
     keys = list(keys)
+    path = lookup(path)
     following = path.select(
         *keys, (F.col(time) - 1).alias(time), F.col(path_value).alias("__next")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweft.functions.columns import geomean, null_if_nan
+from panelweft.scale import bounded
 
 
 def interpolate(
@@ -203,9 +204,10 @@ def project(
     keys: Sequence[str],
     value: str,
     growth_value: str = "growth",
+    lookup=bounded,
 ) -> DataFrame:
     """One row per base row and growth year of its key: value * growth."""
-    moved = base.withColumnRenamed(value, "__level").join(growth, list(keys))
+    moved = base.withColumnRenamed(value, "__level").join(lookup(growth), list(keys))
     return moved.withColumn(value, F.col("__level") * F.col(growth_value)).drop(
         "__level", growth_value
     )

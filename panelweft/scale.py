@@ -1,9 +1,10 @@
-"""Helpers that keep plans safe at scale: shared staging, exact global order.
+"""Helpers that keep plans safe at scale: shared staging, measured lookups,
+exact global order.
 
-Joins in this library carry no broadcast hints. Spark broadcasts a side by
-itself when its size, from file statistics or from the finished shuffle
-stage, is under spark.sql.autoBroadcastJoinThreshold, and otherwise sorts and
-merges, splitting hot keys through adaptive skew handling.
+National tables are joined to region rows through `bounded`: the table is
+written once, counted, and broadcast only if it is small, so the region rows
+are not shuffled. A larger one goes through an ordinary join, where Spark
+sorts and merges and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 500_000  # a few tens of MB in memory for national tables
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -47,6 +50,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a staged table for broadcast if it has few enough rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A lookup table, staged, measured, and broadcast only if small."""
+    return broadcast_if_small(materialise(df, "lookup"))
+
+
 def running_total(df: DataFrame, order: list[str], amount: str, into: str) -> DataFrame:
     """Running sum of an integer column over one global order, without one
     big task. `order` must be unique.
