@@ -76,7 +76,7 @@ def update_join(spark, d):
 
 def extend_spine(spark, d):
     rows = src.raw_values(spark, d).select("region", "year", "raw")
-    return fill.extend_spine(rows, rows.select("region"), 1990, 1994)
+    return fill.extend_spine(rows, rows.select("region").distinct(), 1990, 1994)
 
 
 def _daily(spark, d):

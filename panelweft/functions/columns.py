@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,18 @@ def geomean(c) -> Column:
     return F.exp(F.avg(F.when(c > 0, F.ln(c))))
 
 
+def distinct_years(time: str, first: int, last: int) -> Column:
+    """Aggregate: number of distinct years within first..last, exact. The
+    years are collected as bits, so no distinct aggregation is planned."""
+    counts = []
+    for low in range(first, last + 1, 63):
+        high = min(low + 62, last)
+        bit = F.expr(f"shiftleft(1L, `{time}` - {low})")
+        bits = F.bit_or(F.when(F.col(time).between(low, high), bit))
+        counts.append(F.coalesce(F.bit_count(bits), F.lit(0)))
+    return reduce(lambda a, b: a + b, counts)
+
+
 def country_of(region) -> Column:
     """Country code of a region id: the text before the first dot."""
     return F.substring_index(as_col(region), ".", 1)

@@ -140,8 +140,9 @@ def override_path(
 def extend_spine(
     df: DataFrame, ids: DataFrame, first: int, last: int, time: str = "year"
 ) -> DataFrame:
-    """Empty rows for first..last for every id, ahead of the frame."""
-    empty = ids.distinct().withColumn(time, F.explode(F.sequence(F.lit(first), F.lit(last))))
+    """Empty rows for first..last for every id, ahead of the frame. `ids`
+    has one row per id."""
+    empty = ids.withColumn(time, F.explode(F.sequence(F.lit(first), F.lit(last))))
     return empty.unionByName(df, allowMissingColumns=True).select(*df.columns)
 
 

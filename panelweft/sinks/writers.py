@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweft.functions.columns import distinct_years
 from panelweft.operators.checks import enforce
 from panelweft.scale import materialise, running_total
 
@@ -94,36 +95,31 @@ def to_cube(
     for old, new in relabel.items():
         label = F.when(F.col(model) == old, new).otherwise(label)
     named = panel.withColumn(model, label)
-    span = named.agg(
-        F.min(year).alias("lo"), F.max(year).alias("hi"), F.count_distinct(year).alias("n")
-    ).collect()[0]
-    if span["n"] != span["hi"] - span["lo"] + 1:
-        raise CubeError("years are not contiguous")
+    span = named.agg(F.min(year).alias("lo"), F.max(year).alias("hi")).collect()[0]
+    n_years = span["hi"] - span["lo"] + 1
     regions = materialise(dense_codes(named, region, f"{region}_code"), "codes")
     n_regions = regions.count()
-    per_combo = named.groupBy(scenario, model, region).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct(year).alias("years")
+    per_region = named.groupBy(scenario, model, region).agg(
+        F.count(F.lit(1)).alias("rows"),
+        distinct_years(year, span["lo"], span["hi"]).alias("years"),
     )
-    wrong = (
-        per_combo.groupBy(scenario, model)
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.count(F.lit(1)).alias("regions"),
-            F.min("years").alias("years"),
-        )
-        .where(
-            (F.col("rows") != n_regions * span["n"])
-            | (F.col("regions") != n_regions)
-            | (F.col("years") != span["n"])
-        )
-        .limit(1)
-        .collect()
+    combos = per_region.groupBy(scenario, model).agg(
+        F.sum("rows").alias("rows"),
+        F.count(F.lit(1)).alias("regions"),
+        F.min("years").alias("fewest"),
+        F.max("years").alias("most"),
     )
-    if wrong:
-        raise CubeError(f"not a full grid: {wrong[0].asDict()}, expected {n_regions} regions")
+    found = combos.collect()  # one row per combination
+    if all(r["most"] < n_years for r in found):
+        raise CubeError("years are not contiguous")
+    for r in found:
+        full = r["regions"] == n_regions and r["rows"] == n_regions * n_years
+        if not full or r["fewest"] != n_years:
+            raise CubeError(f"not a full grid: {r.asDict()}, expected {n_regions} regions")
     coded = named.join(regions, region)
-    for dim in (scenario, model):
-        coded = coded.join(dense_codes(named, dim, f"{dim}_code"), dim)
+    for dim in (scenario, model):  # a handful of labels, known from the combinations
+        labels = F.array(*(F.lit(x) for x in sorted({r[dim] for r in found})))
+        coded = coded.withColumn(f"{dim}_code", F.array_position(labels, F.col(dim)) - 1)
     return coded.select(
         *dims,
         *(f"{d}_code" for d in (scenario, region, model)),
