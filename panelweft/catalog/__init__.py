@@ -1,4 +1,10 @@
-"""Registered queries: name -> (function of session and folder, SQL or None)."""
+"""Registered queries: name -> (function of session and folder, SQL or None).
+
+Every query reads whole tables. Conditions on nation or customer keys hand
+out roles, so that each branch of an operator meets rows: a nation known to
+one source only, a region without a weight, a value changed on purpose. They
+never shrink the work, and both engines apply the same ones.
+"""
 
 from __future__ import annotations
 

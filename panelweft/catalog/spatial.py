@@ -209,8 +209,9 @@ def _validation(spark, d):
         .groupBy("year")
         .agg((F.sum("total") / F.sum("n_orders")).alias("published"))
     )
-    nations = src.boxes(spark, d).select("country").distinct()
-    table = nations.join(published.withColumn("one", F.lit(1)), F.lit(1) == F.col("one")).drop("one")
+    years = F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year")
+    nations = src.boxes(spark, d).select("country").distinct().select("country", years)
+    table = nations.join(published, "year")
     return zonal.validate_national(
         _zonal(spark, d), table, value="gdppc", weight="pop"
     )
