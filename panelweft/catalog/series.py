@@ -46,10 +46,7 @@ def _annual(spark, d):
 def _growths(spark, d):
     a, b = _annual(spark, d)
     lead = materialise(series.growth_since(a, KEY, 1996), "lead")
-    late = series.bridge_and_chain(lead, b, KEY, 1998).unionByName(
-        series.bridge_alone(lead, b, KEY, 1998, 2001)
-    )
-    return lead, materialise(late, "late")
+    return lead, materialise(series.late_growth(lead, b, KEY, 1998, 2001), "late")
 
 
 def _shown(df, digits=9):

@@ -165,6 +165,34 @@ def bridge_alone(
     return chain_growth(bridge, growth_since(alone, keys, start, time, value), keys, start, time)
 
 
+def late_growth(
+    lead_growth: DataFrame,
+    late: DataFrame,
+    keys: Sequence[str],
+    start: int,
+    rate_until: int,
+    steps: int = 2,
+    time: str = "year",
+    value: str = "value",
+) -> DataFrame:
+    """`bridge_and_chain` and `bridge_alone` together: each key of the late
+    source is bridged by the leading growth where there is any, else by its
+    own rate, and all are chained in one go."""
+    keys = list(keys)
+    shared = late.select(*keys).distinct()
+    covered = lead_growth.select(*keys).distinct()
+    bridge = (
+        lead_growth.where(F.col(time) <= start)
+        .join(shared, keys, "left_semi")
+        .unionByName(
+            annualised_bridge(
+                late.join(covered, keys, "left_anti"), keys, start, rate_until, steps, time, value
+            )
+        )
+    )
+    return chain_growth(bridge, growth_since(late, keys, start, time, value), keys, start, time)
+
+
 def cross_fill(chosen: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All of `chosen`, plus every row of `other` whose key it lacks."""
     missing = other.join(chosen.select(*keys).distinct(), list(keys), "left_anti")
