@@ -74,11 +74,14 @@ def coverage_rings(spark, d):
 
 
 def coverage_diamonds(spark, d):
-    """Slanted edges: the covered shares add up to each region's own area."""
+    """Slanted edges: the covered shares add up to each region's own area,
+    and their mean column is known in closed form (a third of it is shown, as
+    thirds have no rounding ties)."""
     out = zonal.coverage_fraction(_rings(spark, d, DIAMOND), GLOBE)
+    centre = F.sum(F.col("frac") * (F.col("cell_col") + 0.5)) / F.sum("frac")
     return out.groupBy("region").agg(
         F.round(F.sum("frac"), 7).alias("cells"),
-        F.round(F.sum(F.col("frac") * (F.col("cell_col") + 0.5)) / F.sum("frac"), 0).alias("col"),
+        F.round(centre / 3, 7).alias("centre_third"),
         F.max(F.col("frac") > 1 + 1e-9).alias("over"),
     )
 
@@ -272,8 +275,8 @@ WHERE b.frac - coalesce(h.frac, 0) > 1e-9""",
             "boxes",
             tail="""
 SELECT region, round((lon1 - lon0) * (lat1 - lat0) / 2 / 6.25, 7) AS cells,
-  cen AS col, false AS over
-FROM (SELECT *, (SELECT round(sum(a * (c + 0.5)) / sum(a), 0) FROM (
+  cen AS centre_third, false AS over
+FROM (SELECT *, (SELECT round(sum(a * (c + 0.5)) / sum(a) / 3, 7) FROM (
     SELECT c.range AS c,
       -- share of the diamond's width in each grid column, by its closed form
       ((CASE WHEN least(greatest((c.range + 1 - m) / h, -1), 1) < 0 THEN (least(greatest((c.range + 1 - m) / h, -1), 1) + 1) * (least(greatest((c.range + 1 - m) / h, -1), 1) + 1) ELSE 2 - (1 - least(greatest((c.range + 1 - m) / h, -1), 1)) * (1 - least(greatest((c.range + 1 - m) / h, -1), 1)) END) / 2) - ((CASE WHEN least(greatest((c.range - m) / h, -1), 1) < 0 THEN (least(greatest((c.range - m) / h, -1), 1) + 1) * (least(greatest((c.range - m) / h, -1), 1) + 1) ELSE 2 - (1 - least(greatest((c.range - m) / h, -1), 1)) * (1 - least(greatest((c.range - m) / h, -1), 1)) END) / 2) AS a
