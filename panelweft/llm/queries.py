@@ -5,13 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweft.llm import fingerprints, licenses, mixing, rules, sharding
+from panelweft.llm import fingerprints, licenses, line_dedup, mixing, rules, secrets, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# -- 1: line dedup -----------------------------------------------------------
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
+def _op1_sql() -> str:
+    base, prime = line_dedup.BASE, line_dedup.PRIME
+    return f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text <> ''),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {prime} AS h FROM l),
+r AS (SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * {base} + h) % {prime} % {line_dedup.AVERAGE} = 0 AS ends FROM h),
+c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r),
+k AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY 1, 2),
+f AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, c) > 1 AS lost FROM k),
+o AS (SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY c) FILTER (NOT lost), '') AS text,
+  coalesce(sum(n) FILTER (lost), 0)::BIGINT AS n_lost_lines, sum(n)::BIGINT AS n_lines FROM f GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.text = '' THEN '' ELSE o.text END AS text,
+  coalesce(n_lines, (d.text IS NOT NULL)::BIGINT) AS n_lines, coalesce(n_lost_lines, 0) AS n_lost_lines
+FROM documents d LEFT JOIN o USING (doc_id)
+"""
+
 # -- 2: mixing ---------------------------------------------------------------
 
 LEVELS = ["domain", "lang", "source"]
@@ -152,6 +176,13 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir), shards=40)
 
 
+# -- 5: secrets --------------------------------------------------------------
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(documents(spark, sf_dir))
+
+
 # -- 7: fingerprints ---------------------------------------------------------
 
 
@@ -187,9 +218,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 
 QUERIES = {
+    "op1_line_dedup": (op1_line_dedup, _op1_sql()),
     "op2_mix": (op2_mix, OP2_SQL),
     "op3_licenses": (op3_licenses, _op3_sql()),
     "op4_shards": (op4_shards, None),
+    "op5_secrets": (op5_secrets, None),
     "op7_fingerprints": (op7_fingerprints, None),
     "op9_rules": (op9_rules, _op9_sql()),
 }
