@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweft.llm import fingerprints, licenses, line_dedup, mixing, rules, secrets, sharding
+from panelweft.llm import (
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    pieces,
+    quality_model,
+    rules,
+    secrets,
+    sharding,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +196,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(documents(spark, sf_dir))
 
 
+# -- 6: quality classifier ---------------------------------------------------
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.quality_scores(documents(spark, sf_dir), labels)
+
+
 # -- 7: fingerprints ---------------------------------------------------------
 
 
@@ -190,6 +211,16 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(documents(spark, sf_dir))
 
 
+# -- 8: pieces ---------------------------------------------------------------
+
+#: Where the public vocabulary lies; a parameter of the operator.
+MODEL_PATH = os.environ.get("PANELWEFT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.token_ids(documents(spark, sf_dir), MODEL_PATH)
+
+
 # -- 9: quality rules --------------------------------------------------------
 
 
@@ -216,6 +247,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines, fail_bits, 'v2' AS policy FROM b
 """
 
+# -- 10: near duplicates -----------------------------------------------------
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir))
+
 
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, _op1_sql()),
@@ -223,6 +260,9 @@ QUERIES = {
     "op3_licenses": (op3_licenses, _op3_sql()),
     "op4_shards": (op4_shards, None),
     "op5_secrets": (op5_secrets, None),
+    "op6_quality": (op6_quality, None),
     "op7_fingerprints": (op7_fingerprints, None),
+    "op8_pieces": (op8_pieces, None),
     "op9_rules": (op9_rules, _op9_sql()),
+    "op10_near_dedup": (op10_near_dedup, None),
 }
