@@ -2,9 +2,10 @@
 exact global order.
 
 National tables are joined to region rows through `bounded`: the table is
-written once, counted, and broadcast only if it is small, so the region rows
-are not shuffled. A larger one goes through an ordinary join, where Spark
-sorts and merges and adaptive execution splits hot keys.
+written once, its files are measured, and it is broadcast only if they are
+small, so the region rows are not shuffled. A larger one goes through an
+ordinary join, where Spark sorts and merges and adaptive execution splits hot
+keys.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000  # a few tens of MB in memory for national tables
+BROADCAST_BYTES = 4 << 20  # of compressed files: some tens of MB in memory
 
 _own_dirs: dict[str, str] = {}
+_owned: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,9 +34,39 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="panelweft-"))
 
 
+def staging_root(spark: SparkSession) -> str:
+    """The folder that holds all that this application stages."""
+    return f"{shared_dir(spark)}/panelweft/{spark.sparkContext.applicationId}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system that a path lies in, and the path as it knows it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/panelweft/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new path in the staging folder, which goes when the driver ends."""
+    root = staging_root(spark)
+    if root not in _owned:
+        _owned.add(root)
+        files, at = _hadoop(spark, root)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+    return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Remove what this application has staged. Frames read from it end too."""
+    files, at = _hadoop(spark, staging_root(spark))
+    files.delete(at, True)
+    _owned.discard(staging_root(spark))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of the files below a path."""
+    files, at = _hadoop(spark, path)
+    return files.getContentSummary(at).getLength()
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -50,14 +82,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Mark a staged table for broadcast if it has few enough rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def bounded(df: DataFrame) -> DataFrame:
-    """A lookup table, staged, measured, and broadcast only if small."""
-    return broadcast_if_small(materialise(df, "lookup"))
+    """A lookup table, staged, and broadcast only if its files are small."""
+    spark, path = df.sparkSession, staging_path(df.sparkSession, "lookup")
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(table) if stored_bytes(spark, path) <= BROADCAST_BYTES else table
 
 
 def running_total(df: DataFrame, order: list[str], amount: str, into: str) -> DataFrame:

@@ -34,7 +34,7 @@ def test_lookup_size_decides_the_join(spark, monkeypatch):
     small = allocate.allocate_or_freeze(w, c, ["country"])
     assert "BroadcastHashJoin" in plan_of(small)
     want = rows(small.select("region", "year", F.round("value", 9)))
-    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = allocate.allocate_or_freeze(w, c, ["country"])
@@ -108,3 +108,15 @@ def test_a_cluster_needs_its_shared_folder(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scale.shared_dir(Session())
     assert scale.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_staging_is_cleared(spark):
+    table = scale.materialise(spark.range(10), "kept")
+    assert table.count() == 10
+    path = table.inputFiles()[0]
+    assert path.startswith("file:") and scale.staging_root(spark) in path
+    assert scale.stored_bytes(spark, path) > 0
+    scale.clear_staging(spark)
+    with pytest.raises(Exception, match="(?i)not.*exist|FileNotFound"):
+        scale.stored_bytes(spark, path)
+    assert scale.materialise(spark.range(3), "again").count() == 3
