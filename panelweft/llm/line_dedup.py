@@ -1,12 +1,13 @@
 """Line dedup over content-defined chunks of lines.
 
-A text is cut into chunks of whole lines. A chunk ends after a line if the
-rolling hash of that line and the one before it is divisible by `average`, so a
-boundary depends on two neighbouring lines only: inserting or moving lines
-elsewhere shifts no other boundary. Chunks of two or more lines that occur
+A text is cut into chunks of two or more whole lines. A line may end a chunk if
+the rolling hash of it and the line before is divisible by `average`; of
+neighbouring lines that may, every other one does, and no cut leaves a single
+line at either end. So a boundary depends on the lines around it only:
+inserting or moving lines elsewhere shifts no other boundary. Chunks that occur
 again anywhere are removed, except their first occurrence (smallest id, then
 text hash, then place). Hashes only find candidates: a chunk goes only if its
-bytes equal those of an earlier one.
+bytes equal those of an earlier one. A text of one line is no such chunk.
 
 Null texts stay null, empty ones empty; neither has a chunk. Null ids come
 last in the order. Rows equal in id and text are one document: they lose the
@@ -48,17 +49,18 @@ def line_hash(line: bytes) -> int:
 def chunks_of(text: bytes, average: int = AVERAGE) -> list[tuple[int, int, int, int]]:
     """(place, lines, start, size) of each chunk of a text. The chunks, joined
     by line feeds, are the text."""
-    found, begin, at, lines, before = [], 0, 0, 0, 0
-    for line in text.split(b"\n"):
+    found, begin, at, lines, before, cut = [], 0, 0, 0, 0, False
+    parts = text.split(b"\n")
+    for n, line in enumerate(parts, 1):
         here = line_hash(line)
         rolling, before = (before * BASE + here) % PRIME, here
         lines += 1
         at += len(line) + 1
-        if rolling % average == 0:
+        cut = rolling % average == 0 and 2 <= n <= len(parts) - 2 and not cut
+        if cut:
             found.append((len(found), lines, begin, at - 1 - begin))
             begin, lines = at, 0
-    if lines:
-        found.append((len(found), lines, begin, len(text) - begin))
+    found.append((len(found), lines, begin, len(text) - begin))
     return found
 
 

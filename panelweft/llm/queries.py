@@ -38,7 +38,9 @@ def _op1_sql() -> str:
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text <> ''),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {prime} AS h FROM l),
-r AS (SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * {base} + h) % {prime} % {line_dedup.AVERAGE} = 0 AS ends FROM h),
+m AS (SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * {base} + h) % {prime} % {line_dedup.AVERAGE} = 0
+  AND i >= 2 AND i <= count(*) OVER (PARTITION BY doc_id) - 2 AS may FROM h),
+r AS (SELECT *, may AND (i - max(CASE WHEN may THEN 0 ELSE i END) OVER (PARTITION BY doc_id ORDER BY i)) % 2 = 1 AS ends FROM m),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r),
 k AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY 1, 2),
 f AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, c) > 1 AS lost FROM k),
