@@ -7,11 +7,13 @@ candidates if a slot is equal. Candidates are aligned word by word in a band:
 two texts are linked if 1 - edits / words of the longer is 0.8 or more.
 
 Copies are one text from the start. In each bucket of equal slots all texts
-are aligned with the least one; what that connects needs no more work. Then
-every pair of a bucket whose texts are still in different components, and whose
-lengths allow a link, is aligned too. So no candidate pair goes untested
-unless its texts are connected already, and a large group of near copies costs
-its size, not its square.
+are aligned with the least one, and in a few more rounds those that are still
+apart from it with another member of its component; what that connects needs no
+more work. Then every pair of a bucket whose texts are still in different
+components is aligned too, unless its lengths or its word signatures rule a link
+out. So no candidate pair goes untested unless its texts are connected already
+or cannot be linked, and a large group of near copies costs its size, not its
+square.
 
 Null and empty texts are one text without words, linked to no other; so are
 texts of white space only, if equal. Texts of one to four words have one k-mer.
@@ -36,7 +38,10 @@ K = 5  # words of a k-mer
 LEAST = 4  # k-mers of a slot
 SLOTS = 32
 SIMILARITY = 0.8
-CELLS = 1 << 22  # cells of a table in a worker
+ROUNDS = 3  # of leaders, after the first
+SIGNATURE = 16  # longs of 64 bits
+CELLS = 1 << 19  # numbers of a sketch that a worker handles at once
+TABLE = 1 << 21  # cells of a band that a worker lays out as a table
 
 
 def kmers(words: np.ndarray) -> np.ndarray:
@@ -80,6 +85,14 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def signature(words: np.ndarray) -> np.ndarray:
+    """A bit for each hash value that a word of the text has. A bit that only
+    one of two texts has costs their alignment at least one edit."""
+    bits = np.zeros(64 * SIGNATURE, np.uint8)
+    bits[(words >> np.uint64(64 - 10)).astype(np.int64) % len(bits)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = word_hashes(batch.column("__text").to_pylist())
@@ -88,8 +101,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("doc_id"), batch.column("key"),
                 pa.array([len(w) for w in words], pa.int32()),
                 pa.array([sketch(w) for w in words], pa.list_(pa.int64())),
+                pa.array([signature(w) for w in words], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "key", "n_words", "slots"],
+            names=["doc_id", "key", "n_words", "slots", "bits"],
         )
 
 
@@ -121,7 +135,7 @@ def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     band = max(8, len(b) - len(a))
     while True:
         band = min(band, most)
-        if (2 * band + 1) * (len(a) + 1) > CELLS:
+        if (2 * band + 1) * (len(a) + 1) > TABLE:
             return _edits_by_rows(a, b, most)
         found = _edits_by_diagonals(a, b, band)
         if found <= band or band == most:
@@ -215,6 +229,30 @@ def align(pairs: DataFrame, base: DataFrame, nodes: DataFrame, similarity: float
     )
 
 
+def _may_link(similarity: float):
+    """Whether two texts (a, b) with sizes and signatures can reach the
+    similarity: each word of one that the other lacks is an edit."""
+    longer = F.greatest("a_size", "b_size")
+    most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
+    gap = F.abs(F.col("a_size") - F.col("b_size"))
+
+    def only(x: str, y: str):
+        return sum(
+            (F.bit_count(F.get(x, n).bitwiseAND(F.bitwise_not(F.get(y, n)))) for n in range(SIGNATURE)), F.lit(0)
+        )
+
+    return (gap <= most) & (only("a_bits", "b_bits") <= most) & (only("b_bits", "a_bits") <= most)
+
+
+def _joined(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, part) after the parts that new links connect have become one."""
+    side = lambda c: parts.select(F.col("node").alias(c), F.col("part").alias(f"{c}_part"))
+    edges = found.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("a_part <> b_part")
+    merged = components(edges.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct())
+    merged = bounded(merged.withColumnRenamed("node", "part"))
+    return parts.join(merged, "part", "left").select("node", F.coalesce("component", "part").alias("part"))
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, text: str = "text", id_col: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
@@ -224,63 +262,81 @@ def near_duplicates(
     base = texts_of(docs, text, id_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = materialise(
-        base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, slots array<long>"), "sketches"
+        base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, slots array<long>, bits array<long>"), "sketches"
+    )
+    distinct = rows.groupBy("key").agg(
+        F.min("doc_id").alias("least_id"), F.first("n_words").alias("n_words"), F.first("bits").alias("bits")
     )
-    distinct = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.first("n_words").alias("n_words"))
     # distinct texts are numbered by least id, so the least number names a class
     order = distinct.withColumns({"__null": F.col("least_id").isNull(), "__one": F.lit(1)})
     nodes = materialise(
         running_total(order, ["__null", "least_id", "key"], "__one", "node")
-        .select("key", "least_id", "n_words", F.col("node").cast("long")),
+        .select("key", "least_id", "n_words", "bits", F.col("node").cast("long")),
         "nodes",
     )
-    in_slots = materialise(
-        rows.join(nodes.select("key", "node"), "key")
-        .select("node", "n_words", F.posexplode("slots").alias("slot", "value")).distinct(),
-        "slots",
-    )
-    leaders = in_slots.groupBy("slot", "value").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-    leaders = leaders.where("a < last").select("slot", "value", "a")
-    shared = materialise(in_slots.join(leaders, ["slot", "value"]), "buckets")
-    # a link needs lengths that differ by a fifth at most
-    fits = lambda x, y: F.least(x, y) >= F.lit(similarity - 1e-9) * F.greatest(x, y)
-    sizes = nodes.select(F.col("node").alias("a"), F.col("n_words").alias("a_size"))
-    first_pairs = materialise(
-        shared.where("node <> a").select("a", F.col("node").alias("b"), "n_words").distinct()
-        .join(sizes, "a").where(fits(F.col("a_size"), F.col("n_words"))).select("a", "b"),
-        "first-pairs",
-    )
-    first_links = materialise(align(first_pairs, base, nodes, similarity), "first-links")
-    joined = materialise(components(first_links), "first-components")
+    in_slots = rows.join(nodes.select("key", "node"), "key").select("node", F.posexplode("slots").alias("slot", "value")).distinct()
+    in_slots = materialise(in_slots, "slots")
+    shared = in_slots.groupBy("slot", "value").agg(F.min("node").alias("p"), F.max("node").alias("q"))
+    buckets = materialise(in_slots.join(shared.where("p < q").select("slot", "value"), ["slot", "value"]), "buckets")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs that lengths and signatures do not rule out."""
+        side = lambda c: nodes.select(
+            F.col("node").alias(c), F.col("n_words").alias(f"{c}_size"), F.col("bits").alias(f"{c}_bits")
+        )
+        return pairs.join(side("b"), "b").join(side("a"), "a").where(_may_link(similarity)).select("a", "b")
+
+    parts = buckets.select("node").distinct().withColumn("part", F.col("node"))
+    links, tested = None, None
+    for turn in range(1 + ROUNDS):
+        member = buckets.join(parts, "node")
+        lead = member.groupBy("slot", "value").agg(
+            F.min(F.struct("part", F.xxhash64("node", F.lit(turn)).alias("order"), "node")).alias("lead"),
+            F.max("part").alias("last"),
+        )
+        lead = lead.where(F.col("lead.part") < F.col("last")).select(
+            "slot", "value", F.col("lead.part").alias("lead_part"), F.col("lead.node").alias("lead")
+        )
+        pairs = (
+            member.join(lead, ["slot", "value"]).where("part <> lead_part")
+            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        )
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        tested = pairs if tested is None else materialise(tested.union(pairs), "tested")
+        found = materialise(align(possible(pairs), base, nodes, similarity), "found")
+        if found.isEmpty():
+            break
+        links = found if links is None else materialise(links.union(found), "links")
+        parts = materialise(_joined(parts, found), "parts")
 
     # what is left: buckets that still hold more than one component
-    member = shared.join(joined, "node", "left").select(
-        "slot", "value", "node", "n_words", F.coalesce("component", "node").alias("part")
-    )
-    mixed = (
-        member.groupBy("slot", "value").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-        .where("p < q").select("slot", "value")
-    )
-    open_members = materialise(
-        member.join(mixed, ["slot", "value"]).withColumn(
-            "band", F.floor(F.log(F.col("n_words")) / F.lit(-float(np.log(similarity)))).cast("int")
+    member = buckets.join(parts, "node")
+    mixed = member.groupBy("slot", "value").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    band = F.floor(F.log(F.col("n_words")) / F.lit(-float(np.log(similarity)))).cast("int")
+    left = materialise(
+        member.join(mixed.where("p < q").select("slot", "value"), ["slot", "value"])
+        .join(nodes.select("node", "n_words", "bits"), "node")
+        .select(
+            "slot", "value", band.alias("band"), F.col("node").alias("a"), F.col("part").alias("a_part"),
+            F.col("n_words").alias("a_size"), F.col("bits").alias("a_bits"),
         ),
         "open-buckets",
     )
-    left = open_members.select("slot", "value", "band", F.col("node").alias("a"), F.col("part").alias("a_part"), F.col("n_words").alias("a_size"))
-    near = open_members.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    other = near.select("slot", "value", "band", F.col("node").alias("b"), "part", "n_words")
-    rest = materialise(
-        left.join(other, ["slot", "value", "band"])
-        .where((F.col("a") < F.col("b")) & (F.col("a_part") != F.col("part")) & fits(F.col("a_size"), F.col("n_words")))
+    # texts whose lengths differ by a fifth at most lie in neighbouring bands
+    near = left.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    other = near.select("slot", "value", "band", *(F.col(f"a{c}").alias(f"b{c}") for c in ("", "_part", "_size", "_bits")))
+    apart = (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & _may_link(similarity)
+    rest = (
+        left.join(other, (left["slot"] == other["slot"]) & (left["value"] == other["value"]) & (left["band"] == other["band"]) & apart)
         .select("a", "b").distinct()
-        .join(first_pairs, ["a", "b"], "left_anti"),
-        "rest-pairs",
     )
-    links = first_links
-    if not rest.isEmpty():
-        links = materialise(first_links.union(align(rest, base, nodes, similarity)), "links")
-        joined = components(links)
+    rest = materialise(rest.join(tested, ["a", "b"], "left_anti"), "rest-pairs")
+    found = materialise(align(rest, base, nodes, similarity), "last-links")
+    links = found if links is None else links.union(found)
+    parts = _joined(parts, found)
+    joined = parts.withColumnRenamed("part", "component")
     named = nodes.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
     names = nodes.select(F.col("node").alias("class"), F.col("least_id").alias("class_id"))
     found = rows.select("doc_id", "key").join(named, "key").join(names, "class")
