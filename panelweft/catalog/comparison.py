@@ -10,6 +10,7 @@ from panelweft.operators import compare
 
 KEYS = ["region", "year"]
 COLUMNS = ["value", "extra"]
+SCENARIOS = ["SSP1", "SSP2", "SSP3", "SSP4", "SSP5"]
 
 
 def _result(spark, d):
@@ -96,7 +97,7 @@ def national_agreement(spark, d):
     out = compare.national_agreement(
         _result(spark, d), _reference(spark, d), ["country"], COLUMNS, [1996, 1998, 2000]
     )
-    return out.select("country", "year", "column", "a", "b", F.round("pct", 9).alias("pct"))
+    return out.select("country", "year", "column", "a", "b", "one_sided", F.round("pct", 9).alias("pct"))
 
 
 def envelope_compare(spark, d):
@@ -116,14 +117,14 @@ def _by_scenario(spark, d):
 
 def scenario_pairs(spark, d):
     out = compare.scenario_pairs(
-        _by_scenario(spark, d), ["SSP1", "SSP2", "SSP3"], "country", "value", 1998, [1999, 2001]
+        _by_scenario(spark, d), SCENARIOS, "country", "value", 1998, [1999, 2001]
     )
     return _rounded(out, "max_rel", digits=9)
 
 
 def national_report(spark, d):
     return compare.national_report(
-        src.by_scenario(spark, d), ["SSP1", "SSP2", "SSP5"], "country", "total", [1996, 2000]
+        src.by_scenario(spark, d), SCENARIOS, "country", "total", [1996, 2000]
     )
 
 
@@ -182,15 +183,15 @@ _PARTS = {"keyed": _KEYED, "a": _RESULT, "b": _REFERENCE, "j": _BOTH}
 _TIER = {
     "keyed": _KEYED,
     "flagged": """SELECT region, country FROM regions WHERE c_custkey % 29 = 1 AND nationkey % 2 = 0""",
-    "t": f"""SELECT region, country, CASE WHEN k % 41 <> 7 THEN raw END AS av, raw * 2 AS ae,
+    "t": f"""SELECT region, country, k % 37 <> 5 AS in_a, CASE WHEN k % 41 <> 7 THEN raw END AS av, raw * 2 AS ae,
     CASE WHEN k % 41 <> 7 THEN CASE WHEN nationkey % 2 = 0 AND k % 29 = 1 THEN raw * 1.25::DOUBLE
       WHEN nationkey % 2 = 0 THEN raw * 1.0001::DOUBLE ELSE raw END END AS bv,
     CASE WHEN k % 53 <> 9 THEN raw * 2 END AS be
-  FROM keyed WHERE k % 37 <> 5""",
+  FROM keyed""",
     "tiers": """SELECT *, CASE WHEN region IN (SELECT region FROM flagged) THEN 'C'
     WHEN country IN (SELECT country FROM t WHERE region IN (SELECT region FROM flagged)) THEN 'B' ELSE 'A' END AS tier FROM t""",
-    "s": """SELECT tier, 'value' AS "column", av AS a, bv AS b FROM tiers
-  UNION ALL SELECT tier, 'extra', ae, be FROM tiers""",
+    "s": """SELECT tier, in_a, 'value' AS "column", av AS a, bv AS b FROM tiers
+  UNION ALL SELECT tier, in_a, 'extra', ae, be FROM tiers""",
 }
 
 QUERIES = {
@@ -236,10 +237,12 @@ FROM j"""
             "raw_values",
             **_TIER,
             tail=f"""
-SELECT tier, "column", count(*) AS n_rows, round(coalesce(max({_gap('a', 'b')}), 0), 7) AS max_pct,
-  count(*) FILTER ((a IS NULL) <> (b IS NULL)) AS n_null_mismatch,
-  count(*) FILTER ({_gap('a', 'b')} > 1e-2) AS n_over,
-  tier <> 'A' OR (count(*) FILTER ((a IS NULL) <> (b IS NULL)) = 0 AND count(*) FILTER ({_gap('a', 'b')} > 1e-2) = 0) AS ok
+SELECT tier, "column", count(*) FILTER (in_a) AS n_rows, count(*) FILTER (NOT in_a) AS n_one_sided,
+  round(coalesce(max({_gap('a', 'b')}) FILTER (in_a), 0), 7) AS max_pct,
+  count(*) FILTER (in_a AND (a IS NULL) <> (b IS NULL)) AS n_null_mismatch,
+  count(*) FILTER (in_a AND {_gap('a', 'b')} > 1e-2) AS n_over,
+  tier <> 'A' OR (bool_and(in_a) AND count(*) FILTER ((a IS NULL) <> (b IS NULL)) = 0
+    AND count(*) FILTER ({_gap('a', 'b')} > 1e-2) = 0) AS ok
 FROM s GROUP BY 1, 2""",
         ),
     ),
@@ -248,13 +251,14 @@ FROM s GROUP BY 1, 2""",
         sql(
             "raw_values",
             **_PARTS,
-            x="""SELECT country, year, a.value AS a, b.value AS b, a.extra AS c, b.extra AS d
-  FROM (SELECT country, year, sum(value) AS value, sum(extra) AS extra FROM a GROUP BY 1, 2) a
-  JOIN (SELECT country, year, sum(value) AS value, sum(extra) AS extra FROM b GROUP BY 1, 2) b USING (country, year)
+            x="""SELECT country, year, a.value AS a, b.value AS b, a.extra AS c, b.extra AS d, ia IS NULL OR ib IS NULL AS alone
+  FROM (SELECT country, year, 1 AS ia, sum(value) AS value, sum(extra) AS extra FROM a GROUP BY 1, 2) a
+  FULL JOIN (SELECT country, year, 1 AS ib, sum(value) AS value, sum(extra) AS extra FROM b GROUP BY 1, 2) b USING (country, year)
   WHERE year IN (1996, 1998, 2000)""",
             tail=f"""
-SELECT country, year, 'value' AS "column", a, b, round({_gap('a', 'b')}, 9) AS pct FROM x
-UNION ALL SELECT country, year, 'extra', c, d, round({_gap('c', 'd')}, 9) FROM x""",
+SELECT country, year, 'value' AS "column", a, b, alone AS one_sided,
+  CASE WHEN alone THEN 'inf'::DOUBLE ELSE round({_gap('a', 'b')}, 9) END AS pct FROM x
+UNION ALL SELECT country, year, 'extra', c, d, alone, CASE WHEN alone THEN 'inf'::DOUBLE ELSE round({_gap('c', 'd')}, 9) END FROM x""",
         ),
     ),
     "envelope_compare": (
@@ -266,13 +270,13 @@ UNION ALL SELECT country, year, 'extra', c, d, round({_gap('c', 'd')}, 9) FROM x
     CASE WHEN in_a AND in_b THEN CASE WHEN av IS NULL OR bv IS NULL THEN 1 ELSE {_rel('av', 'bv')} END END AS m,
     CASE WHEN ae IS NOT NULL AND be IS NOT NULL THEN {_rel('ae', 'be')} END AS r FROM j""",
             g="""SELECT count(*) FILTER (in_a AND in_b) AS n_matched, count(*) FILTER (NOT in_a) AS n_missing,
-    max(s) AS strict_max, avg(CASE WHEN m <= 1e-6 THEN 1.0 WHEN m IS NOT NULL THEN 0.0 END) AS main_share,
+    count(*) FILTER (NOT in_b) AS n_extra, max(s) AS strict_max, avg(CASE WHEN m <= 1e-6 THEN 1.0 WHEN m IS NOT NULL THEN 0.0 END) AS main_share,
     avg(m) AS main_mean, max(m) AS main_max,
     avg(CASE WHEN r <= 1e-6 THEN 1.0 WHEN r IS NOT NULL THEN 0.0 END) AS raw_share, max(r) AS raw_max FROM e""",
             tail="""
-SELECT n_matched, n_missing, round(strict_max, 9) AS strict_max, round(main_share, 9) AS main_share,
+SELECT n_matched, n_missing, n_extra, round(strict_max, 9) AS strict_max, round(main_share, 9) AS main_share,
   round(main_mean, 9) AS main_mean, round(main_max, 9) AS main_max, round(raw_share, 9) AS raw_share,
-  round(raw_max, 9) AS raw_max, n_missing = 0 AS rows_ok, strict_max <= 1e-6 AS strict_ok,
+  round(raw_max, 9) AS raw_max, n_missing = 0 AND n_extra = 0 AS rows_ok, strict_max <= 1e-6 AS strict_ok,
   main_share >= 0.97 AND main_mean <= 1e-3 AS main_ok, raw_share >= 0.99 AS raw_ok FROM g""",
         ),
     ),
@@ -284,8 +288,7 @@ SELECT n_matched, n_missing, round(strict_max, 9) AS strict_max, round(main_shar
     THEN CAST(nationkey + 1 AS DOUBLE) ELSE total END AS v FROM by_scenario WHERE year IN (1998, 1999, 2001)""",
             p=f"""SELECT x.year, x.scenario || '-' || y.scenario AS pair,
     count(*) FILTER ({_rel('x.v', 'y.v')} > 1e-9) AS n, max({_rel('x.v', 'y.v')}) AS m
-  FROM v x JOIN v y ON x.country = y.country AND x.year = y.year AND x.scenario < y.scenario
-  WHERE y.scenario IN ('SSP2', 'SSP3') GROUP BY 1, 2""",
+  FROM v x JOIN v y ON x.country = y.country AND x.year = y.year AND x.scenario < y.scenario GROUP BY 1, 2""",
             tail="""
 SELECT year, arg_min(pair, (n, pair)) AS weakest_pair, min(n) AS n_diff, round(max(m), 9) AS max_rel,
   CASE WHEN year = 1998 THEN max(m) <= 1e-9 ELSE min(n) > 0 END AS ok FROM p GROUP BY year""",
@@ -297,7 +300,8 @@ SELECT year, arg_min(pair, (n, pair)) AS weakest_pair, min(n) AS n_diff, round(m
             "by_scenario",
             tail="""
 SELECT coalesce(country, 'GLOBAL') AS country, year, sum(total) FILTER (scenario = 'SSP1') AS "SSP1",
-  sum(total) FILTER (scenario = 'SSP2') AS "SSP2", sum(total) FILTER (scenario = 'SSP5') AS "SSP5"
+  sum(total) FILTER (scenario = 'SSP2') AS "SSP2", sum(total) FILTER (scenario = 'SSP3') AS "SSP3",
+  sum(total) FILTER (scenario = 'SSP4') AS "SSP4", sum(total) FILTER (scenario = 'SSP5') AS "SSP5"
 FROM by_scenario WHERE year IN (1996, 2000) GROUP BY GROUPING SETS ((country, year), (year))""",
         ),
     ),

@@ -107,6 +107,17 @@ def quality_report(spark, d):
     )
 
 
+def missing_panel_report(spark, d):
+    """One of four panels is not there, and one has lost a region."""
+    n = src.table(spark, d, "customer").count()
+    combos = tuple((s, m) for s in ("SSP2", "SSP3") for m in ("IIASA", "OECD"))
+    gone = (F.col("scenario") == "SSP3") & (F.col("gdp_model") == "IIASA")
+    short = (F.col("scenario") == "SSP2") & (F.col("gdp_model") == "OECD") & (_custkey() == 1)
+    panel = _assembled(spark, d).where(~gone & ~short)
+    report = checks.panel_checks(panel, Expected(n, 1995, 2001, combos), GROUP)
+    return report.select(*GROUP, "check", "ok", "n_bad")
+
+
 def cross_panel_report(spark, d):
     """Population that depends on the model, area that differs, and two
     scenarios that never part."""
@@ -265,6 +276,20 @@ FROM panel WHERE scenario <> 'SSP1'""",
 SELECT gdp_model, name AS "check", n = 0 AS ok, CAST(n AS BIGINT) AS n_bad, detail FROM summed""",
         ),
     ),
+    "missing_panel_report": (
+        missing_panel_report,
+        sql(
+            n="SELECT count(*) AS n FROM customer",
+            c=f"""SELECT s AS scenario, m AS gdp_model, "check" FROM (VALUES ('SSP2'), ('SSP3')) s(s),
+    (VALUES ('IIASA'), ('OECD')) m(m), (VALUES {", ".join(f"('{x}')" for x in checks.PANEL_CHECKS)}) t("check")""",
+            tail="""
+SELECT scenario, gdp_model, "check", n_bad = 0 AS ok, n_bad FROM (SELECT scenario, gdp_model, "check",
+  CAST(CASE WHEN scenario = 'SSP3' AND gdp_model = 'IIASA' THEN
+      CASE "check" WHEN 'grid_size' THEN 7 * n WHEN 'ir_count' THEN n WHEN 'year_span' THEN 7 ELSE 0 END
+    WHEN scenario = 'SSP2' AND gdp_model = 'OECD' THEN CASE "check" WHEN 'grid_size' THEN 7 WHEN 'ir_count' THEN 1 ELSE 0 END
+    ELSE 0 END AS BIGINT) AS n_bad FROM c, n)""",
+        ),
+    ),
     "cross_panel_report": (
         cross_panel_report,
         sql(
@@ -306,7 +331,7 @@ FROM (VALUES ('SSP2'), ('SSP3')) t(s), (
             bad="SELECT * FROM t WHERE CAST(split_part(iso3, '_', 2) AS INTEGER) % 8 = 3",
             tail="""
 SELECT 'SSP2' AS scenario, 'OECD' AS gdp_model, 'gdp_sums_to_national' AS "check", count(*) = 0 AS ok,
-  count(*) AS n_bad, coalesce(min(iso3), '') AS detail FROM bad""",
+  count(*) AS n_bad, coalesce(array_to_string(list_sort(list(DISTINCT iso3))[1:3], ', '), '') AS detail FROM bad""",
         ),
     ),
 }

@@ -220,13 +220,17 @@ def reconcile_growth(
     weight: str = "weight",
     target_value: str = "target",
     growth_value: str = "growth",
+    present: DataFrame | None = None,
 ) -> DataFrame:
     """The same scaling for regions that all move with one national growth
     path and keep their share of the weight: each country's weighted mean is
     then its starting mean times the growth, so the path itself can be set
     to target / starting mean and no region-year row is touched. `start` has
-    one row per region."""
+    one row per region. `present` (keys, time) lists the country-years that
+    have weight at all; others keep their own path."""
     keys, full = list(keys), [*within, *keys]
+    if present is not None:
+        target = target.join(present.select(*keys, time).distinct(), [*keys, time], "left_semi")
     mean = weighted_means(start, keys, value, weight, "__mean")
     level = F.col("__mean") * F.col(growth_value)
     fitted = F.when(

@@ -25,7 +25,8 @@ def interpolate(
 ) -> DataFrame:
     """Every year between a key's first and last knot, linear in the value or
     in its logarithm. Knots must be positive; one knot alone yields nothing;
-    nothing is extrapolated."""
+    nothing is extrapolated. Two knots of a key in one year are an error that
+    names the key."""
     w = Window.partitionBy(*keys).orderBy(time)
     knots = (
         df.select(*keys, time, null_if_nan(value).alias("__v0"))
@@ -35,7 +36,11 @@ def interpolate(
         .withColumn("__alone", F.lag(time).over(w).isNull() & F.col("__t1").isNull())
         .where(~F.col("__alone"))
     )
-    until = F.coalesce(F.col("__t1") - 1, F.col(time))
+    named = F.concat_ws(", ", *(F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in [*keys, time]))
+    twice = F.raise_error(F.concat(F.lit("two knots for ("), named, F.lit(")")))
+    until = F.when(F.col("__t1") == F.col(time), twice.cast("int")).otherwise(
+        F.coalesce(F.col("__t1") - 1, F.col(time))
+    )
     years = knots.withColumn("__t0", F.col(time)).withColumn(
         time, F.explode(F.sequence(F.col(time), until))
     )
@@ -277,19 +282,24 @@ def splice_rebase(
     return interpolate(early.unionByName(late), keys, time, value)
 
 
-def step_years(knots: DataFrame, first: int, last: int, time: str = "year") -> DataFrame:
-    """(year, knot): the latest knot at or before each year; years before the
-    first knot are absent. Knots are the distinct years of the whole frame,
-    collected into one array of at most one entry per calendar year."""
-    known = knots.agg(F.collect_set(time).alias("__knots"))
+def step_years(
+    knots: DataFrame, first: int, last: int, time: str = "year", within: Sequence[str] = ()
+) -> DataFrame:
+    """(within..., year, knot): the latest knot at or before each year; years
+    before the first knot are absent. Knots are the distinct years of each
+    `within` group, one entry per calendar year at most."""
+    known = knots.groupBy(*within).agg(F.collect_set(time).alias("__knots"))
     years = known.withColumn(time, F.explode(F.sequence(F.lit(first), F.lit(last))))
     latest = F.array_max(F.filter("__knots", lambda k: k <= F.col(time)))
-    return years.select(time, latest.alias("knot")).where(F.col("knot").isNotNull())
+    return years.select(*within, time, latest.alias("knot")).where(F.col("knot").isNotNull())
 
 
-def step_lookup(df: DataFrame, first: int, last: int, time: str = "year") -> DataFrame:
+def step_lookup(
+    df: DataFrame, first: int, last: int, time: str = "year", within: Sequence[str] = ()
+) -> DataFrame:
     """Hold values constant between knots, for every year of the span. The
-    knot set is shared by all keys, so a key lacking a knot has no rows until
-    the next one."""
-    years = step_years(df.select(time), first, last, time)
-    return df.withColumnRenamed(time, "knot").join(years, "knot").drop("knot")
+    knot set is shared by all keys of a `within` group (a scenario), so a key
+    lacking a knot has no rows until the next one. The year table has one row
+    per group and year of the span and is sent to every task."""
+    years = bounded(step_years(df.select(*within, time), first, last, time, within))
+    return df.withColumnRenamed(time, "knot").join(years, [*within, "knot"]).drop("knot")

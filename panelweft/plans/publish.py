@@ -12,7 +12,7 @@ from panelweft.operators.checks import Expected, cross_panel_checks, enforce
 from panelweft.operators.compare import source_summary
 from panelweft.plans.config import PanelConfig, PanelSources
 from panelweft.plans.dictionary import PANEL_DICTIONARY
-from panelweft.plans.panel import build_panel, check_panel
+from panelweft.plans.panel import build_panel, check_panel, expected_records
 from panelweft.scale import materialise
 from panelweft.sinks.writers import (
     provenance,
@@ -56,6 +56,7 @@ def publish(
     root = path.rstrip("/")
     panel = materialise(build_panel(src, cfg), "panel")
     report = check_panel(panel, src, cfg, expected)
+    enforce(report, expected=expected_records(cfg))
     enforce(cross_panel_checks(panel, cfg.scenarios, cfg.gdp_models, cfg.handoff), "all panels")
     write_panels(panel, f"{root}/csv", report)
     cube = to_cube(panel, MEASURES)

@@ -156,3 +156,20 @@ def test_staging_needs_a_shared_folder(spark, monkeypatch):
     assert df.count() == 5 and "x" not in df.columns
     with pytest.raises(ValueError, match="duplicate"):
         scale.require_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], "t")
+
+
+def test_rows_without_a_partner_fail(spark):
+    cols = "region string, country string, year int, v double, w double, x double"
+    a = spark.createDataFrame([("r1", "A", 1, 1.0, 1.0, 1.0), ("r2", "B", 1, 2.0, 2.0, 2.0)], cols)
+    b = spark.createDataFrame([("r1", "A", 1, 1.0, 1.0, 1.0)], cols)
+    none = spark.createDataFrame([], "region string")
+    keys = ["region", "country", "year"]
+    for x, y in ((a, b), (b, a)):
+        (row,) = compare.tiered_compare(x, y, none, keys, ["v"]).collect()
+        assert (row.tier, row.n_rows, row.n_one_sided, row.ok) == ("A", 1, 1, False)
+        found = {r.country: r.one_sided for r in compare.national_agreement(x, y, ["country"], ["v"], [1]).collect()}
+        assert found == {"A": False, "B": True}
+        (row,) = compare.envelope_compare(x, y, keys, "v", "w", "x").collect()
+        assert not row.rows_ok and row.strict_ok
+    (row,) = compare.tiered_compare(a, a, none, keys, ["v"]).collect()
+    assert row.ok and row.n_one_sided == 0

@@ -241,3 +241,28 @@ def test_update_join_overwrites_with_null(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
     patch = spark.createDataFrame([("a", None), ("c", 3.0)], "k string, v double")
     assert rows(fill.update_join(df, patch, ["k"], "v")) == [("a", None), ("b", 2.0)]
+
+
+def test_knots_belong_to_their_scenario(spark):
+    df = spark.createDataFrame(
+        [("A", 2020, 1.0), ("A", 2030, 2.0), ("B", 2020, 3.0), ("B", 2025, 4.0), ("B", 2030, 5.0)],
+        "s string, year int, v double",
+    )
+    out = {(r.s, r.year): r.v for r in series.step_lookup(df, 2020, 2031, within=["s"]).collect()}
+    assert len(out) == 24
+    assert (out["A", 2027], out["B", 2024], out["B", 2027], out["A", 2031]) == (1.0, 3.0, 4.0, 2.0)
+
+
+def test_two_knots_in_a_year_are_named(spark):
+    df = spark.createDataFrame([("AAA", 2000, 1.0), ("AAA", 2000, 2.0), ("AAA", 2005, 3.0)], "iso3 string, year int, value double")
+    with pytest.raises(Exception, match="two knots for .iso3=AAA, year=2000"):
+        series.interpolate(df, ["iso3"]).collect()
+
+
+def test_growth_is_fitted_only_where_there_are_people(spark):
+    growth = spark.createDataFrame([("A", y, 1.0 + (y - 2023) / 100) for y in (2040, 2060)], "c string, year int, growth double")
+    start = spark.createDataFrame([("A", 10.0, 1.0), ("A", 30.0, 3.0)], "c string, value double, weight double")
+    target = spark.createDataFrame([("A", y, 50.0) for y in (2040, 2060)], "c string, year int, target double")
+    present = spark.createDataFrame([("A", 2040)], "c string, year int")
+    out = {r.year: r.growth for r in allocate.reconcile_growth(growth, start, target, ["c"], present=present).collect()}
+    assert out[2040] == pytest.approx(2.0) and out[2060] == pytest.approx(1.37)

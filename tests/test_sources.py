@@ -147,3 +147,9 @@ def test_cube_to_long(spark):
     assert rows(grids.cube_to_long(cube, ["region", "year"], ["v"])) == [
         ("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 3.0), ("b", 1, 4.0), ("b", 2, None), ("b", 3, 6.0),
     ]
+
+
+def test_ages_without_a_number_are_in_no_bin(spark):
+    df = spark.createDataFrame([("A", "0", 1.0), ("A", "70", 2.0), ("A", "old", 4.0)], "k string, age string, value double")
+    out = national.bin_and_pivot(df, ["k"], F.col("age").try_cast("int"), [5, 65], ["x", "y", "z"])
+    assert rows(out) == [("A", 1.0, 0.0, 2.0)]
