@@ -153,11 +153,13 @@ def keep_passing(docs: DataFrame, policy: str, text: str = "text") -> DataFrame:
     """The documents that a policy keeps, with the columns they came with.
 
     Each row is measured where it lies: the ledger rides along in the row, so
-    nothing is joined back.
+    nothing is joined back. The row number in the condition keeps the planner
+    from moving it below the measurements, where it would repeat all of them.
     """
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc_id"), F.col(text).alias("text"))
-    judged = apply_policy(ledger(packed), policy).where("kept")
+    judged = apply_policy(ledger(packed), policy).withColumn("__row", F.monotonically_increasing_id())
+    judged = judged.where(F.col("kept") & (F.col("__row") >= 0))
     return judged.select(*[F.col(f"doc_id.`{c}`").alias(c) for c in names])
 
 
