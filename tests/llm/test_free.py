@@ -307,6 +307,10 @@ def test_near_duplicates_match_brute_force(spark):
     for _ in range(40):
         own = [rng.randrange(1000) for _ in range(60)]
         rows.append((len(rows) + 2000, " ".join(f"w{x}" for x in own + passage)))
+    # texts with little in common but a filler, repeated
+    for n in range(30):
+        own = [rng.randrange(1000) for _ in range(20)]
+        rows.append((3000 + n, " ".join(f"w{x}" for x in own + [1, 2] * 90)))
     parent = {i: i for i, _ in rows}
 
     def root(i):
@@ -319,6 +323,9 @@ def test_near_duplicates_match_brute_force(spark):
     for n, (i, _) in enumerate(rows):
         for j, _ in rows[:n]:
             longer = max(len(split[i]), len(split[j]))
+            sets = [{tuple(split[k][n : n + 5]) for n in range(len(split[k]) - 4)} for k in (i, j)]
+            if 2 * len(sets[0] & sets[1]) < len(sets[0] | sets[1]):
+                continue
             if near_dedup.edits(*(np.array([int(w[1:]) for w in split[k]], np.int64) for k in (i, j)), int(longer * 0.2 + 1e-9)) <= longer * 0.2:
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
