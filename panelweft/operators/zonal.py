@@ -3,8 +3,11 @@
 Coverage never needs a whole polygon in one place. Each edge is cut at the
 grid lines; a piece inside a cell adds its height to every cell on its right
 and a partial share to its own cell. Summed over a region's pieces and
-accumulated along each row, that is the exact covered share of every cell.
-Holes run against their outer ring and so subtract themselves.
+accumulated along each row, that is the exact covered share of every cell that
+an edge crosses. Cells between them are inside or outside as a whole: there the
+edges that cross the middle of the row are counted, in whole numbers, so that
+nothing has to be rounded away. Holes run against their outer ring and so
+subtract themselves.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from panelweft.functions.geo import SPHERE_RADIUS_KM, cell_area_km2, lune_excess
 from panelweft.scale import exact_median
 
 CELL = ["cell_row", "cell_col"]
-NOISE = 1e-9  # shares below this are rounding left over from summed pieces
+TWICE = 1e-9  # by how much a share must exceed 1 to mean covered twice
 
 
 @dataclass(frozen=True)
@@ -51,13 +54,14 @@ def _clamp(value: Column, low, high) -> Column:
     return F.greatest(F.least(value, as_col(high)), as_col(low))
 
 
-def ring_edges(rings: DataFrame, region: str = "region") -> DataFrame:
+def ring_edges(rings: DataFrame, region: str = "region", strict: bool = True) -> DataFrame:
     """(region, ring_id, lon0, lat0, lon1, lat1): one row per ring edge.
 
     Vertices meet their successors in an equi-join on the full vertex key,
     so a ring of any length spreads over all tasks. Every ring gets one
     closing edge from its last vertex to its first; it has no length when
-    the ring was closed already. Vertex numbers must be consecutive.
+    the ring was closed already. Vertex numbers must be consecutive; a ring
+    with a gap or a number twice is an error, unless `strict` is off.
     """
     ring = [region, "ring_id"]
     here = rings.select(*ring, "seq", F.col("lon").alias("lon0"), F.col("lat").alias("lat0"))
@@ -66,8 +70,13 @@ def ring_edges(rings: DataFrame, region: str = "region") -> DataFrame:
     )
     point = F.struct("lon", "lat")
     ends = rings.groupBy(*ring).agg(
-        F.max_by(point, "seq").alias("tail"), F.min_by(point, "seq").alias("head")
+        F.max_by(point, "seq").alias("tail"), F.min_by(point, "seq").alias("head"),
+        (F.count(F.lit(1)) != F.max("seq") - F.min("seq") + 1).alias("broken"),
     )
+    if strict:
+        named = F.concat(F.lit("vertex numbers of ring "), F.concat_ws("/", *ring), F.lit(" have gaps"))
+        tail = F.when(F.col("broken"), F.raise_error(named)).otherwise(F.col("tail.lon"))
+        ends = ends.withColumn("tail", F.struct(tail.alias("lon"), F.col("tail.lat").alias("lat")))
     closing = ends.select(
         *ring,
         F.col("tail.lon").alias("lon0"),
@@ -93,19 +102,25 @@ def coverage_fraction(rings: DataFrame, grid: Grid, region: str = "region") -> D
     top = F.greatest(F.floor(F.least(y0, y1)), F.lit(0)).cast("int")
     last = F.least(F.ceil(F.greatest(y0, y1)) - 1, F.lit(grid.n_rows - 1)).cast("int")
     strips = (
-        edges.where(y0 != y1)
+        # a level edge adds no height, but marks the cells that it runs through
+        edges.where((y0 != y1) | (y0 != F.floor(y0)))
         .where(top <= last)
         .withColumn("cell_row", F.explode(F.sequence(top, last)))
     )
     row = F.col("cell_row")
-    slope = (x1 - x0) / (y1 - y0)
+    slope = F.try_divide(x1 - x0, y1 - y0)
     ya, yb = _clamp(y0, row, row + 1), _clamp(y1, row, row + 1)
+    # an edge crosses the middle of the row downwards, upwards or not at all
+    middle = row + 0.5
+    wind = F.when((y0 <= middle) & (middle < y1), 1).when((y1 <= middle) & (middle < y0), -1)
     strips = strips.select(
         region,
         "cell_row",
         F.when(ya == y0, x0).otherwise(x0 + (ya - y0) * slope).alias("xa"),
         F.when(yb == y1, x1).otherwise(x0 + (yb - y0) * slope).alias("xb"),
         (yb - ya).alias("dy"),
+        F.coalesce(wind, F.lit(0)).alias("wind"),
+        F.floor(x0 + (middle - y0) * slope).alias("at_middle"),
     )
 
     # cut at the column lines; column -1 stands for everything left of the grid
@@ -121,36 +136,43 @@ def coverage_fraction(rings: DataFrame, grid: Grid, region: str = "region") -> D
     xs, xe = _clamp(xa, low, col + 1), _clamp(xb, low, col + 1)
     height = F.when(xa == xb, F.col("dy")).otherwise(F.col("dy") * (xe - xs) / (xb - xa))
     share = F.when(col < 0, F.lit(1.0)).otherwise(col + 1 - (xs + xe) / 2)
+    turns = F.when(_clamp(F.col("at_middle"), first, final) == col, F.col("wind")).otherwise(0)
     crossed = (
         pieces.select(
             region,
             "cell_row",
-            F.greatest(col, F.lit(0)).alias("cell_col"),
+            col.alias("cell_col"),
             height.alias("height"),
             (height * share).alias("own"),
+            turns.alias("turns"),
         )
         .groupBy(region, *CELL)
-        .agg(F.sum("height").alias("height"), F.sum("own").alias("own"))
+        .agg(F.sum("height").alias("height"), F.sum("own").alias("own"), F.sum("turns").alias("turns"))
     )
 
     # accumulate along each row (at most one entry per grid column)
     along = Window.partitionBy(region, "cell_row").orderBy("cell_col")
     until_here = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = crossed.withColumn("inside", F.sum("height").over(until_here)).withColumn(
-        "next_col", F.lead("cell_col", 1, grid.n_cols).over(along)
-    )
-    run_end = F.when(F.abs("inside") > NOISE, F.col("next_col") - 1).otherwise(F.col("cell_col"))
-    edge_share = F.abs(F.col("own") + F.col("inside") - F.col("height"))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    entries = crossed.withColumns({
+        "inside": F.sum("turns").over(until_here),
+        "left": F.coalesce(F.sum("height").over(before), F.lit(0.0)),
+        "next_col": F.lead("cell_col", 1, grid.n_cols).over(along),
+    })
+    run_end = F.when(F.col("inside") != 0, F.col("next_col") - 1).otherwise(F.col("cell_col"))
+    edge_share = F.abs(F.col("own") + F.col("left"))
     at = F.col("at")
     return (
-        runs.withColumn("at", F.explode(F.sequence(F.col("cell_col"), run_end)))
+        entries.withColumn("at", F.explode(F.sequence(F.col("cell_col"), run_end)))
         .select(
             region,
             "cell_row",
             at.alias("cell_col"),
-            F.when(at == F.col("cell_col"), edge_share).otherwise(F.abs("inside")).alias("frac"),
+            F.when(at == F.col("cell_col"), edge_share)
+            .otherwise(F.abs("inside").cast("double"))
+            .alias("frac"),
         )
-        .where(F.col("frac") > NOISE)
+        .where((F.col("frac") > 0) & (F.col("cell_col") >= 0))
     )
 
 
@@ -188,7 +210,7 @@ def bad_regions(coverage: DataFrame, region: str = "region") -> DataFrame:
     """Regions that cover some cell more than once: overlapping or
     self-crossing rings. Reported, not repaired."""
     return (
-        coverage.where(F.col("frac") > 1 + NOISE)
+        coverage.where(F.col("frac") > 1 + TWICE)
         .groupBy(region)
         .agg(F.count(F.lit(1)).alias("n_cells"), F.max("frac").alias("max_frac"))
     )
@@ -199,7 +221,7 @@ def bad_rings(rings: DataFrame, region: str = "region") -> DataFrame:
     vertices (counted over consecutive repeats) or no area."""
     ring = [region, "ring_id"]
     shape = (
-        ring_edges(rings, region)
+        ring_edges(rings, region, strict=False)
         .groupBy(*ring)
         .agg(
             F.count_if((F.col("lon0") != F.col("lon1")) | (F.col("lat0") != F.col("lat1"))).alias(

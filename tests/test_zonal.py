@@ -170,3 +170,30 @@ def test_grids_must_align():
     with pytest.raises(ValueError, match="align"):
         MICRO.require_same(Grid(0.0, 2.0, 1.0, 1.0, 2, 3))
     MICRO.require_same(Grid(0.0, 2.0, 1.0, 1.0, 2, 2))
+
+
+def test_tiny_regions_keep_their_cells(spark):
+    grid = zonal.Grid(0.0, 10.0, 1.0, 1.0, 10, 10)
+    boxes = [("big", 1.0, 2.0, 4.0, 5.0), ("tiny", 3.25, 3.25, 3.25 + 1e-5, 3.25 + 1e-5), ("odd", 0.1, 0.7, 6.3, 8.9),
+             ("over", -3.0, 4.5, 12.0, 5.5)]
+    table = spark.createDataFrame(boxes, "region string, lon0 double, lat0 double, lon1 double, lat1 double")
+    corners = [
+        (n, 0, k, x, y)
+        for n, a, b, c, d in boxes
+        for k, (x, y) in enumerate([(a, b), (a, d), (c, d), (c, b)])
+    ]
+    rings = spark.createDataFrame(corners, "region string, ring_id int, seq int, lon double, lat double")
+    key = lambda df: {(r.region, r.cell_row, r.cell_col): r.frac for r in df.collect()}
+    want, got = key(zonal.box_coverage(table, grid)), key(zonal.coverage_fraction(rings, grid))
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(v, rel=1e-6, abs=1e-14) for k, v in want.items())
+    assert 0 < got["tiny", 6, 3] < 1.1e-10
+
+
+def test_rings_with_gaps_are_refused(spark):
+    grid = zonal.Grid(0.0, 10.0, 1.0, 1.0, 10, 10)
+    rows_ = [("r", 0, k, x, y) for k, (x, y) in zip((0, 1, 3), [(1.0, 1.0), (1.0, 4.0), (4.0, 4.0)])]
+    rings = spark.createDataFrame(rows_, "region string, ring_id int, seq int, lon double, lat double")
+    with pytest.raises(Exception, match="vertex numbers of ring r/0"):
+        zonal.coverage_fraction(rings, grid).collect()
+    assert zonal.bad_rings(rings).collect()[0].reason == "gaps in vertex numbers"
