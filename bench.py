@@ -3,7 +3,7 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
 local cores. Every query runs to its end (all rows produced, none kept).
 `panel_rows_per_sec` counts the rows of the panels that the whole-panel
-query builds: 4 combinations x customers x 120 years.
+query builds: 10 combinations x customers x 120 years.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from panelweft.catalog import all_queries  # noqa: E402
 from panelweft.catalog.inputs import table  # noqa: E402
+from panelweft.scale import clear_staging  # noqa: E402
 
 HEADLINE = [
     "interp_regions",
@@ -55,6 +57,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,7 +70,7 @@ def main() -> None:
 
     run("allocate_fixed")  # start-up of the JVM's code paths
     times = {name: run(name) for name in HEADLINE}
-    rows = table(spark, folder, "customer").count() * 120 * 4
+    rows = table(spark, folder, "customer").count() * 120 * 10
     print(
         json.dumps(
             {
@@ -81,6 +84,7 @@ def main() -> None:
             }
         )
     )
+    clear_staging(spark)
     spark.stop()
 
 

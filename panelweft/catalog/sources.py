@@ -207,14 +207,20 @@ def national_cohorts(spark, d):
 
 
 def cube_to_long(spark, d):
-    """One chunk per nation, scenario and year nested as arrays."""
+    """One chunk per nation, scenario and year nested as arrays; a year that a
+    line lacks is a gap in it."""
     at = F.struct("year", "total", "n_orders")
     lines = (
         src.by_scenario(spark, d)
-        .where("year <> 2001")
         .groupBy("country", "scenario")
-        .agg(F.array_sort(F.collect_list(at)).alias("line"))
-        .where(F.size("line") == 6)
+        .agg(F.collect_list(at).alias("found"))
+        .withColumn(
+            "line",
+            F.transform(
+                F.sequence(F.lit(1995), F.lit(2001)),
+                lambda y: F.get(F.filter("found", lambda x: x["year"] == y), 0),
+            ),
+        )
     )
     row = F.struct(
         "scenario",
@@ -225,7 +231,7 @@ def cube_to_long(spark, d):
     cube = chunks.select(
         F.array("country").alias("country"),
         F.col("rows.scenario").alias("scenario"),
-        F.sequence(F.lit(1995), F.lit(2000)).alias("year"),
+        F.sequence(F.lit(1995), F.lit(2001)).alias("year"),
         F.array("rows.total").alias("total"),
         F.array("rows.n").alias("n"),
     )
@@ -445,8 +451,9 @@ SELECT CASE WHEN year < 1998 THEN 'historical' ELSE 'projection' END AS era, sce
         sql(
             "by_scenario",
             tail="""
-SELECT country, scenario, year, total, CAST(n_orders AS DOUBLE) AS n FROM by_scenario
-WHERE year <> 2001 QUALIFY count(*) OVER (PARTITION BY country, scenario) = 6""",
+SELECT l.country, l.scenario, CAST(y.range AS INTEGER) AS year, total, CAST(n_orders AS DOUBLE) AS n
+FROM (SELECT DISTINCT country, scenario FROM by_scenario) l CROSS JOIN range(1995, 2002) y
+LEFT JOIN by_scenario b ON b.country = l.country AND b.scenario = l.scenario AND b.year = y.range""",
         ),
     ),
     "panel_csv": (

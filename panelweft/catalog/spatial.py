@@ -9,6 +9,9 @@ from panelweft.catalog.inputs import GRID, WEIGHT_YEAR, sql
 from panelweft.functions.columns import country_of
 from panelweft.operators import zonal
 from panelweft.operators.zonal import Grid
+from panelweft.plans import zonal as zonal_plan
+from panelweft.plans.zonal import ZonalInputs
+from panelweft.scale import staging_path
 from panelweft.sources import grids
 
 GLOBE = Grid(x0=-180.0, y_top=90.0, res_x=2.5, res_y=2.5, n_rows=72, n_cols=144)
@@ -197,6 +200,26 @@ def zonal_fallback(spark, d):
     )
 
 
+SQUARE = [(0, "lon0", "lat0"), (0, "lon0", "lat1"), (0, "lon1", "lat1"), (0, "lon1", "lat0")]
+
+
+def zonal_stage(spark, d):
+    """The whole stage, from outlines and cells to the cached tables."""
+    outlines = _rings(spark, d, SQUARE).withColumnRenamed("region", "hierid")
+    inputs = ZonalInputs(
+        outlines, src.cell_values(spark, d), src.cell_people(spark, d), GRID, WEIGHT_YEAR, range(1995, 2002)
+    )
+    tables = zonal_plan.zonal_stage(spark, staging_path(spark, "zonal_stage"), inputs)
+    people = tables["region_pop"].select("hierid", "year", F.round("pop", 7).alias("pop"))
+    density = tables["region_density"].select(
+        "hierid", "year", F.round(F.col("pop_wtd_density") * 1e6, 5).alias("density")
+    )
+    income = tables["region_gdppc"].select(
+        "hierid", "year", F.round(F.col("gdppc") / 100, 3).alias("gdppc"), "zero_pop"
+    )
+    return income.join(people, ["hierid", "year"]).join(density, ["hierid", "year"])
+
+
 def flagged_regions(spark, d):
     return zonal.flagged_count(_zonal(spark, d), "region", "zero_pop")
 
@@ -362,6 +385,15 @@ SELECT region, year, round(by_people / 100, 3) AS by_people, round(by_area / 100
 SELECT region, year, round(gdppc / 100, 3) AS gdppc, zero_pop, round(pop, 7) AS pop FROM zonal""",
         ),
     ),
+    "zonal_stage": (
+        zonal_stage,
+        sql(
+            "zonal",
+            tail="""
+SELECT region AS hierid, year, round(gdppc / 100, 3) AS gdppc, zero_pop, round(pop, 7) AS pop,
+  round(pop_wtd_density * 1e6, 5) AS density FROM zonal""",
+        ),
+    ),
     "flagged_regions": (
         flagged_regions,
         sql("zonal", tail="SELECT count(DISTINCT region) AS n_flagged FROM zonal WHERE zero_pop"),

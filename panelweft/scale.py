@@ -63,6 +63,12 @@ def clear_staging(spark: SparkSession) -> None:
     _owned.discard(staging_root(spark))
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    files, at = _hadoop(spark, f"{path}/_SUCCESS")
+    return files.exists(at)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """The size of the files below a path."""
     files, at = _hadoop(spark, path)

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from pathlib import PurePosixPath
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweft.functions.columns import distinct_years
 from panelweft.operators.checks import enforce
-from panelweft.scale import materialise, running_total
+from panelweft.scale import is_complete, materialise, running_total
 
 COMBO = ["scenario", "gdp_model"]
 MODEL_LABELS = {"IIASA": "IIASA GDP", "OECD": "OECD Env-Growth"}  # fixed values
@@ -52,19 +51,15 @@ def write_stage(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 def cached(
     spark: SparkSession, folder: str, names: Sequence[str], build: Callable[[], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
-    """Tables under a folder as Parquet; built and written only if one of
-    them is not there yet."""
+    """Tables under a folder as Parquet; built if one of them is not there
+    with its success mark, and only those without it are written."""
     root = folder.rstrip("/")
-
-    def read():
-        return {n: spark.read.parquet(f"{root}/{n}") for n in names}
-
-    try:
-        return read()
-    except AnalysisException:
-        for name, df in build().items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return read()
+    lost = [n for n in names if not is_complete(spark, f"{root}/{n}")]
+    if lost:
+        tables = build()
+        for name in lost:
+            tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
 
 
 def dense_codes(df: DataFrame, column: str, code: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweft.functions.columns import ascii_fold, rel_diff
+from panelweft.scale import bounded
 
 MATCH_TOL = 1e-12
 ROW_IDS = ["model", "scenario", "region", "variable"]
@@ -21,8 +22,10 @@ def within_snapshot(release: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Release rows whose (model, variable) and (model, region) occur in the
     snapshot. Region names are compared with non-ASCII characters folded;
     the folded name is kept as `folded`."""
-    variables = snapshot.select("model", "variable").distinct()
-    regions = snapshot.select("model", ascii_fold("region").alias("folded")).distinct()
+    # the release has few keys, each with very many rows: small lists are sent
+    # to its rows instead of gathering them by key
+    variables = bounded(snapshot.select("model", "variable").distinct())
+    regions = bounded(snapshot.select("model", ascii_fold("region").alias("folded")).distinct())
     return (
         release.withColumn("folded", ascii_fold("region"))
         .join(variables, ["model", "variable"], "left_semi")
