@@ -231,18 +231,19 @@ def texts_of(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.md5(body.cast("binary")).alias("key"), body.alias("__text"))
 
 
-def align(pairs: DataFrame, base: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked. Each text that occurs in a
-    pair is read once and travels as numbers."""
-    asked = bounded(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        .join(nodes.select("node", "key"), "node")
-    )
-    words = materialise(
+def words_of_nodes(base: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, words) of the wanted nodes: the texts are read once for all
+    alignments, and each travels as numbers."""
+    asked = bounded(wanted.select("node").distinct().join(nodes.select("node", "key"), "node"))
+    return materialise(
         base.join(asked, "key").select("node", "__text")
         .mapInArrow(_word_numbers, "node long, words array<int>").dropDuplicates(["node"]),
         "words",
     )
+
+
+def align(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes that are linked, with their similarity."""
     side = lambda c: words.select(F.col("node").alias(c), F.col("words").alias(f"{c}_words"))
     both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
     return (
@@ -310,6 +311,7 @@ def near_duplicates(
         )
         return pairs.join(side("b"), "b").join(side("a"), "a").where(_may_link(similarity)).select("a", "b")
 
+    words = words_of_nodes(base, nodes, buckets)
     parts = buckets.select("node").distinct().withColumn("part", F.col("node"))
     links, tested = None, None
     for turn in range(1 + ROUNDS):
@@ -329,7 +331,7 @@ def near_duplicates(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         tested = pairs if tested is None else materialise(tested.union(pairs), "tested")
-        found = materialise(align(possible(pairs), base, nodes, similarity), "found")
+        found = materialise(align(possible(pairs), words, similarity), "found")
         if found.isEmpty():
             break
         links = found if links is None else materialise(links.union(found), "links")
@@ -357,7 +359,7 @@ def near_duplicates(
         .select("a", "b").distinct()
     )
     rest = materialise(rest.join(tested, ["a", "b"], "left_anti"), "rest-pairs")
-    found = materialise(align(rest, base, nodes, similarity), "last-links")
+    found = materialise(align(rest, words, similarity), "last-links")
     links = found if links is None else links.union(found)
     parts = _joined(parts, found)
     joined = parts.withColumnRenamed("part", "component")
