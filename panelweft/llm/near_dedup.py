@@ -44,6 +44,7 @@ RESEMBLANCE = 0.5  # common distinct k-mers of all of two texts
 ROUNDS = 3  # of leaders, after the first
 SIGNATURE = 16  # longs of 64 bits
 CELLS = 1 << 19  # numbers of a sketch that a worker handles at once
+PART = 512  # texts that a worker unpacks at once
 TABLE = 1 << 21  # cells of a band that a worker lays out as a table
 
 
@@ -105,8 +106,15 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in smaller ones, so that few texts are unpacked at a time."""
     for batch in batches:
+        for at in range(0, batch.num_rows, PART):
+            yield batch.slice(at, PART)
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         words = word_hashes(batch.column("__text").to_pylist())
         grams = [np.unique(runs(w)) for w in words]
         yield pa.record_batch(
@@ -123,7 +131,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _word_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words as 32-bit numbers, half the size of a text."""
-    for batch in batches:
+    for batch in _parts(batches):
         words = word_hashes(batch.column("__text").to_pylist())
         numbers = [(w >> np.uint64(32)).astype(np.uint32).view(np.int32) for w in words]
         yield pa.record_batch([batch.column("node"), pa.array(numbers, pa.list_(pa.int32()))], names=["node", "words"])
