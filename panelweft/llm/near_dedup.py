@@ -4,15 +4,17 @@ A text's k-mers are its runs of five words, each labelled with how often the
 same run occurred before. For each of several seeded orders a sketch slot takes
 the few least k-mers and keeps them in the order of the text; two texts are
 candidates if a slot is equal. Candidates are aligned word by word in a band:
-two texts are linked if 1 - edits / words of the longer is 0.8 or more, and if at
-least half of their distinct k-mers are common. The second rule keeps texts
-apart that share nothing but one filler repeated many times.
+two texts are linked if 1 - edits / words of the longer is 0.8 or more. One kind
+of pair is exempt: texts that share little but a filler repeated many times. It
+is told by the words outside of all runs that repeat in both texts: if not even
+half of those of the text that has fewer lie in the other's too, the pair is not
+linked. Pairs without a run that repeats in both are never exempt.
 
 Copies are one text from the start. In each bucket of equal slots all texts
 are aligned with the least one, and in a few more rounds those that are still
 apart from it with another member of its component; what that connects needs no
 more work. Then every pair of a bucket whose texts are still in different
-components is aligned too, unless its lengths or its k-mer signatures rule a link
+components is aligned too, unless its lengths or its word signatures rule a link
 out. So no candidate pair goes untested unless its texts are connected already
 or cannot be linked, and a large group of near copies costs its size, not its
 square.
@@ -40,7 +42,7 @@ K = 5  # words of a k-mer
 LEAST = 4  # k-mers of a slot
 SLOTS = 32
 SIMILARITY = 0.8
-RESEMBLANCE = 0.5  # common distinct k-mers of all of two texts
+OWN = 0.5  # common words outside of fillers, of texts that repeat the same run
 ROUNDS = 3  # of leaders, after the first
 SIGNATURE = 16  # longs of 64 bits
 CELLS = 1 << 19  # numbers of a sketch that a worker handles at once
@@ -59,22 +61,26 @@ def runs(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of K words, told apart by occurrence."""
-    out = runs(words)
-    size = len(out)
+def told_apart(hashes: np.ndarray) -> np.ndarray:
+    """Hashes that also hold how often the same one occurred before."""
+    size = len(hashes)
     if not size:
-        return out
-    order = np.argsort(out, kind="stable")
-    run = out[order]
+        return hashes
+    order = np.argsort(hashes, kind="stable")
+    run = hashes[order]
     new = np.append(True, run[1:] != run[:-1])
     begin = np.nonzero(new)[0]
     nth = np.arange(size) - np.repeat(begin, np.diff(np.append(begin, size)))
-    labelled = out.copy()
+    labelled = hashes.copy()
     labelled[order] = mix(run + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return labelled
 
 
+def kmers(words: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of K words, told apart by occurrence."""
+    return told_apart(runs(words))
+
+
 def sketch(words: np.ndarray) -> np.ndarray:
     """One number for each slot; none for a text without words."""
     grams = kmers(words)
@@ -98,12 +104,12 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
-    """A bit for each hash value of the distinct k-mers. A bit that only one of
-    two texts has stands for a k-mer that the other lacks."""
-    bits = np.zeros(64 * SIGNATURE, np.uint8)
-    bits[grams & np.uint64(len(bits) - 1)] = 1
-    return np.packbits(bits).view(np.int64)
+def signature(words: np.ndarray) -> np.ndarray:
+    """The parity of the words, told apart by occurrence, at each of the bits.
+    Where two texts differ in a bit, one has a word that the other lacks."""
+    place = told_apart(words.astype(np.uint64)) & np.uint64(64 * SIGNATURE - 1)
+    odd = np.bincount(place.astype(np.int64), minlength=64 * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,16 +122,14 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _parts(batches):
         words = word_hashes(batch.column("__text").to_pylist())
-        grams = [np.unique(runs(w)) for w in words]
         yield pa.record_batch(
             [
                 batch.column("doc_id"), batch.column("key"),
                 pa.array([len(w) for w in words], pa.int32()),
-                pa.array([len(g) for g in grams], pa.int32()),
                 pa.array([sketch(w) for w in words], pa.list_(pa.int64())),
-                pa.array([signature(g) for g in grams], pa.list_(pa.int64())),
+                pa.array([signature(w) for w in words], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "key", "n_words", "n_grams", "slots", "bits"],
+            names=["doc_id", "key", "n_words", "slots", "bits"],
         )
 
 
@@ -210,12 +214,25 @@ def _edits_by_rows(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return int(min(row[m - n + most], most + 1))
 
 
-def resemblance(a: np.ndarray, b: np.ndarray) -> float:
-    """Common distinct k-mers of all distinct k-mers."""
-    a, b = np.unique(runs(a)), np.unique(runs(b))
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    every = len(a) + len(b) - both
-    return both / every if every else 1.0
+def _outside(words: np.ndarray, grams: np.ndarray, fillers: np.ndarray) -> np.ndarray:
+    """The words that no run of a filler covers."""
+    covered = np.zeros(len(words), bool)
+    at = np.nonzero(np.isin(grams, fillers))[0]
+    for n in range(min(K, len(words))):
+        covered[at + n] = True
+    return words[~covered]
+
+
+def only_filler(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two texts share little but runs that repeat in both."""
+    grams = [runs(a), runs(b)]
+    (x, often), (y, others) = (np.unique(g, return_counts=True) for g in grams)
+    fillers = np.intersect1d(x[often > 1], y[others > 1], assume_unique=True)
+    if not len(fillers):
+        return False
+    own, theirs = (told_apart(_outside(w, g, fillers).astype(np.uint64)) for w, g in zip((a, b), grams))
+    both = len(np.intersect1d(own, theirs, assume_unique=True))
+    return both < OWN * min(len(own), len(theirs))
 
 
 def _aligned(similarity: float):
@@ -226,9 +243,10 @@ def _aligned(similarity: float):
             for n in range(batch.num_rows):
                 a, b = (np.asarray(side[n].values, np.int64) for side in (left, right))
                 longer = max(len(a), len(b))
-                if resemblance(a, b) >= RESEMBLANCE:
-                    most = int((1 - similarity) * longer + 1e-9)
-                    score[n] = 1 - edits(a, b, most) / longer if longer else 1.0
+                most = int((1 - similarity) * longer + 1e-9)
+                found = edits(a, b, most)
+                if found <= most and not only_filler(a, b):
+                    score[n] = 1 - found / longer if longer else 1.0
             yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(score)], names=["a", "b", "similarity"])
 
     return run
@@ -263,16 +281,14 @@ def align(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 def _may_link(similarity: float):
     """Whether two texts (a, b) with sizes and signatures can be linked: lengths
-    that differ cost edits, and a resemblance bounds the k-mers that only one
-    of them has."""
+    that differ cost edits, and an edit changes two words at most, or one where
+    the lengths come closer."""
     most = F.floor(F.greatest("a_size", "b_size") * F.lit(1 - similarity) + F.lit(1e-9))
     apart = sum(
         (F.bit_count(F.get("a_bits", n).bitwiseXOR(F.get("b_bits", n))) for n in range(SIGNATURE)), F.lit(0)
     )
-    share = F.lit((1 - RESEMBLANCE) / (1 + RESEMBLANCE) + 1e-9)
-    return (F.abs(F.col("a_size") - F.col("b_size")) <= most) & (
-        apart <= (F.col("a_grams") + F.col("b_grams")) * share
-    )
+    longer = F.abs(F.col("a_size") - F.col("b_size"))
+    return (longer <= most) & (apart <= 2 * most - longer)
 
 
 def _joined(parts: DataFrame, found: DataFrame) -> DataFrame:
@@ -293,17 +309,17 @@ def near_duplicates(
     base = texts_of(docs, text, id_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = materialise(
-        base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, n_grams int, slots array<long>, bits array<long>"), "sketches"
+        base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, slots array<long>, bits array<long>"), "sketches"
     )
     distinct = rows.groupBy("key").agg(
         F.min("doc_id").alias("least_id"), F.first("n_words").alias("n_words"),
-        F.first("n_grams").alias("n_grams"), F.first("bits").alias("bits"),
+        F.first("bits").alias("bits"),
     )
     # distinct texts are numbered by least id, so the least number names a class
     order = distinct.withColumns({"__null": F.col("least_id").isNull(), "__one": F.lit(1)})
     nodes = materialise(
         running_total(order, ["__null", "least_id", "key"], "__one", "node")
-        .select("key", "least_id", "n_words", "n_grams", "bits", F.col("node").cast("long")),
+        .select("key", "least_id", "n_words", "bits", F.col("node").cast("long")),
         "nodes",
     )
     in_slots = rows.join(nodes.select("key", "node"), "key").select("node", F.posexplode("slots").alias("slot", "value")).distinct()
@@ -315,7 +331,7 @@ def near_duplicates(
         """The pairs that lengths and signatures do not rule out."""
         side = lambda c: nodes.select(
             F.col("node").alias(c), F.col("n_words").alias(f"{c}_size"),
-            F.col("n_grams").alias(f"{c}_grams"), F.col("bits").alias(f"{c}_bits"),
+            F.col("bits").alias(f"{c}_bits"),
         )
         return pairs.join(side("b"), "b").join(side("a"), "a").where(_may_link(similarity)).select("a", "b")
 
@@ -351,16 +367,16 @@ def near_duplicates(
     band = F.floor(F.log(F.col("n_words")) / F.lit(-float(np.log(similarity)))).cast("int")
     left = materialise(
         member.join(mixed.where("p < q").select("slot", "value"), ["slot", "value"])
-        .join(nodes.select("node", "n_words", "n_grams", "bits"), "node")
+        .join(nodes.select("node", "n_words", "bits"), "node")
         .select(
             "slot", "value", band.alias("band"), F.col("node").alias("a"), F.col("part").alias("a_part"),
-            F.col("n_words").alias("a_size"), F.col("n_grams").alias("a_grams"), F.col("bits").alias("a_bits"),
+            F.col("n_words").alias("a_size"), F.col("bits").alias("a_bits"),
         ),
         "open-buckets",
     )
     # texts whose lengths differ by a fifth at most lie in neighbouring bands
     near = left.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    other = near.select("slot", "value", "band", *(F.col(f"a{c}").alias(f"b{c}") for c in ("", "_part", "_size", "_grams", "_bits")))
+    other = near.select("slot", "value", "band", *(F.col(f"a{c}").alias(f"b{c}") for c in ("", "_part", "_size", "_bits")))
     apart = (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & _may_link(similarity)
     rest = (
         left.join(other, (left["slot"] == other["slot"]) & (left["value"] == other["value"]) & (left["band"] == other["band"]) & apart)

@@ -338,6 +338,33 @@ def test_near_duplicates_match_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({root(i) for i, _ in rows})
 
 
+def with_share_replaced(rng, some, share):
+    """Words at scattered places replaced by new ones."""
+    out = list(some)
+    for at in rng.sample(range(len(out)), int(share * len(out))):
+        out[at] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def test_scattered_edits_within_the_edit_rule_are_links(spark):
+    rng = random.Random(21)
+    pairs, rows = [], []
+    for g in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        if g % 4 == 3:  # with a passage that the text repeats
+            base[100:100] = base[:40] * 2
+        pairs.append((base, with_share_replaced(rng, base, 0.10)))
+        rows += [(2 * g + k, " ".join(x)) for k, x in enumerate(pairs[-1])]
+    number = lambda ws: words.word_hashes([" ".join(ws)])[0]
+    bits = [[np.unpackbits(near_dedup.signature(number(x)).view(np.uint8)) for x in p] for p in pairs]
+    assert all((x != y).sum() <= 2 * int(0.10 * len(a)) for (x, y), (a, _) in zip(bits, pairs))
+    ids = spark.createDataFrame([(2 * g, 2 * g + 1) for g in range(len(pairs))], "a long, b long")
+    body = spark.createDataFrame([(i, t) for i, t in rows], "node long, __text string")
+    numbers = body.mapInArrow(near_dedup._word_numbers, "node long, words array<int>")
+    found = near_dedup.align(ids, numbers, near_dedup.SIMILARITY).collect()
+    assert len(found) == len(pairs) and all(0.9 <= r["similarity"] < 0.91 for r in found)
+
+
 def test_near_duplicates_of_hard_rows(spark):
     got = near_dedup.near_dedup(docs_of(spark, HARD)).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in HARD)
