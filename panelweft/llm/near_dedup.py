@@ -2,7 +2,7 @@
 
 A text's k-mers are its runs of five words, each labelled with how often the
 same run occurred before. For each of several seeded orders a sketch slot takes
-the few least k-mers and keeps them in the order of the text; two texts are
+the two least k-mers and keeps them in the order of the text; two texts are
 candidates if a slot is equal. Candidates are aligned word by word in a band:
 two texts are linked if 1 - edits / words of the longer is 0.8 or more. One kind
 of pair is exempt: texts that share little but a filler repeated many times. It
@@ -39,8 +39,8 @@ from panelweft.llm.words import mix, word_hashes
 from panelweft.scale import bounded, materialise, running_total
 
 K = 5  # words of a k-mer
-LEAST = 4  # k-mers of a slot
-SLOTS = 32
+LEAST = 2  # k-mers of a slot
+SLOTS = 128  # enough for scattered edits down to SIMILARITY
 SIMILARITY = 0.8
 OWN = 0.5  # common words outside of fillers, of texts that repeat the same run
 ROUNDS = 3  # of leaders, after the first
@@ -87,20 +87,21 @@ def sketch(words: np.ndarray) -> np.ndarray:
     if not len(grams):
         return np.zeros(0, np.int64)
     seeds = mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-    least = min(LEAST, len(grams))
+    factors = mix(seeds) | np.uint64(1)
     out = np.zeros(SLOTS, np.uint64)
     step = max(1, CELLS // len(grams))
     for at in range(0, SLOTS, step):
-        part = seeds[at : at + step]
-        order = mix(grams[None, :] ^ part[:, None])
-        if least < len(grams):
-            chosen = np.sort(np.argpartition(order, least - 1, axis=1)[:, :least], axis=1)
-        else:
-            chosen = np.broadcast_to(np.arange(least), (len(part), least))
-        value = np.zeros(len(part), np.uint64)
-        for n in range(least):
-            value = mix(value + grams[chosen[:, n]])
-        out[at : at + step] = value
+        part = slice(at, at + step)
+        order = (grams[None, :] ^ seeds[part, None]) * factors[part, None]
+        every = np.arange(len(order))
+        chosen = np.zeros((min(LEAST, len(grams)), len(order)), np.int64)
+        for n in range(len(chosen)):
+            chosen[n] = np.argmin(order, axis=1)
+            order[every, chosen[n]] = np.iinfo(np.uint64).max
+        value = np.zeros(len(order), np.uint64)
+        for one in np.sort(chosen, axis=0):
+            value = mix(value + grams[one])
+        out[part] = value
     return out.view(np.int64)
 
 

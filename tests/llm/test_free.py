@@ -365,6 +365,17 @@ def test_scattered_edits_within_the_edit_rule_are_links(spark):
     assert len(found) == len(pairs) and all(0.9 <= r["similarity"] < 0.91 for r in found)
 
 
+@pytest.mark.parametrize("share,least", [(0.10, 0.99), (0.15, 0.97), (0.20, 0.90)])
+def test_texts_with_scattered_edits_are_candidates(share, least):
+    rng = random.Random(8)
+    hits = 0
+    for _ in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        a, b = words.word_hashes([" ".join(base), " ".join(with_share_replaced(rng, base, share))])
+        hits += bool((near_dedup.sketch(a) == near_dedup.sketch(b)).any())
+    assert hits >= least * 150
+
+
 def test_near_duplicates_of_hard_rows(spark):
     got = near_dedup.near_dedup(docs_of(spark, HARD)).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in HARD)
