@@ -42,10 +42,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids beside the columns of documents."""
-    coded = pieces.encode(docs, queries.MODEL_PATH, check=False)
+    """Token ids beside the columns of documents, and whether decoding them
+    gives the text again."""
+    coded = pieces.encode(docs, queries.MODEL_PATH)
     return coded.select(
-        *[F.col(f"__row.`{c}`").alias(c) for c in docs.columns], F.col("__ids").alias("token_ids")
+        *[F.col(f"__row.`{c}`").alias(c) for c in docs.columns], F.col("__ids").alias("token_ids"),
+        F.col("__round_trip").alias("round_trip"),
     )
 
 

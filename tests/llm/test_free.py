@@ -391,6 +391,16 @@ def test_near_duplicates_of_hard_rows(spark):
 # -- pipeline ----------------------------------------------------------------------------
 
 
+def test_last_stage_marks_texts_that_do_not_survive_the_round_trip(spark):
+    library()
+    docs = docs_of(spark, [(1, "plain text"), (2, "a ▁mark"), (3, ""), (4, None)])
+    out = corpus_pipeline.encode(spark, docs, "")
+    assert out.columns == [*docs.columns, "token_ids", "round_trip"]
+    got = {r["doc_id"]: r["round_trip"] for r in out.collect()}
+    assert got[1] is True and got[2] is False and got[3] is True
+    assert got[4] == pieces.token_ids(docs, MODEL).where("doc_id = 4").first()["round_trip"]
+
+
 def test_pipeline_on_a_small_world(spark, tmp_path):
     rng = random.Random(4)
     vocabulary = [a + b for a in ("tha", "ri", "sto", "mel", "qu", "ven") for b in ("n", "der", "ing", "s", "lo")]
