@@ -418,7 +418,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text"
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """Digest for the query: one row per document with its class; `n_links` is
-    the number of different texts that its text was linked to directly."""
+    the number of tested links: texts whose alignment with its text was made and
+    linked them. Pairs that are connected already are not aligned, so it is no
+    degree; among near copies the leader has many and the others few."""
     found, links = near_duplicates(docs)
     degree = (
         links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))

@@ -376,6 +376,16 @@ def test_texts_with_scattered_edits_are_candidates(share, least):
     assert hits >= least * 150
 
 
+def test_tested_links_connect_a_class_and_are_no_more_than_its_pairs(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(n, " ".join(with_share_replaced(rng, base, 0.02))) for n in range(12)] + [(50, "alone here")]
+    got = {r["doc_id"]: r for r in near_dedup.near_dedup(docs_of(spark, rows)).collect()}
+    assert got[50]["n_links"] == 0 and {got[n]["class_id"] for n in range(12)} == {0}
+    assert all(1 <= got[n]["n_links"] <= 11 for n in range(12))
+    assert 2 * 11 <= sum(got[n]["n_links"] for n in range(12)) <= 12 * 11
+
+
 def test_near_duplicates_of_hard_rows(spark):
     got = near_dedup.near_dedup(docs_of(spark, HARD)).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in HARD)
