@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweft.llm import (
+    chat,
     fingerprints,
     licenses,
     line_dedup,
     mixing,
     near_dedup,
+    periodic,
     pieces,
     quality_model,
     rules,
     secrets,
     sharding,
+    variants,
 )
 
 
@@ -256,6 +259,33 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir))
 
 
+# -- 11: chat formatting -------------------------------------------------------
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like marks."""
+    convs = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    tricky = spark.range(2, numPartitions=1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    return chat.read_back(chat.format_conversations(convs.unionByName(tricky)))
+
+
+# -- 12: spelling variants -----------------------------------------------------
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_forms(variants.vocabulary(documents(spark, sf_dir), variants.lose_letters))
+
+
+# -- 13: periodic runs ---------------------------------------------------------
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(periodic.periodic_runs(documents(spark, sf_dir), edit=periodic.repeat_some))
+
+
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, _op1_sql()),
     "op2_mix": (op2_mix, OP2_SQL),
@@ -267,4 +297,7 @@ QUERIES = {
     "op8_pieces": (op8_pieces, None),
     "op9_rules": (op9_rules, _op9_sql()),
     "op10_near_dedup": (op10_near_dedup, None),
+    "op11_chat": (op11_chat, None),
+    "op12_variants": (op12_variants, None),
+    "op13_periodic": (op13_periodic, None),
 }
