@@ -6,9 +6,11 @@ last one; any three places hold two that do not overlap, and a dynamic program
 chooses the two disjoint ones of least total frequency: the pivots. One edit
 destroys one of two disjoint bigrams at most. So if two words are one edit apart,
 a pivot of the word whose prefix ends earlier in the order lies in the prefix of
-the other, at a place that the difference of their lengths allows: the same place
-for a replaced code point, the same or the next one for an inserted one. Pivots
-meet prefixes in a join on bigram, place and length; whatever meets is verified.
+the other, and the edit lies as a whole before or behind it. That limits its
+place: with the edit behind, both words are equal up to the bigram's end; with the
+edit before, they are equal from its start on. Pivots meet prefixes in a join on
+that equal part and on lengths that differ by one at most; whatever meets is
+verified.
 
 The alphabet is a-z and U+00C0 to U+00FF, so there are at most 8,100 bigrams; only
 their counts come to the driver. Words are counted in the workers before they are
@@ -133,20 +135,17 @@ def _indexer(counts: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, place, last, pivot, size, word = [], [], [], [], [], []
+            part, last, pivot, size, word = [], [], [], [], []
             for w in batch.column("word").to_pylist():
-                ranks, prefix, chosen, end = grams_of(w, counts, order)
+                _, prefix, chosen, end = grams_of(w, counts, order)
                 for n in prefix:
-                    gram.append(ranks[n])
-                    place.append(n)
-                    last.append(end)
-                    pivot.append(n in chosen)
-                    size.append(len(w))
-                    word.append(w)
-            columns = [pa.array(x, pa.int32()) for x in (gram, place, size, last)]
-            yield pa.record_batch(
-                [*columns, pa.array(pivot), pa.array(word, pa.string())], names=["gram", "place", "size", "last", "pivot", "word"]
-            )
+                    part += ["<" + w[: n + Q], ">" + w[n:]]  # equal with the edit behind, and before
+                    last += [end] * 2
+                    pivot += [n in chosen] * 2
+                    size += [len(w)] * 2
+                    word += [w] * 2
+            columns = [pa.array(x, t) for x, t in ((part, pa.string()), (size, pa.int32()), (last, pa.int32()), (pivot, pa.bool_()), (word, pa.string()))]
+            yield pa.record_batch(columns, names=["part", "size", "last", "pivot", "word"])
 
     return run
 
@@ -158,15 +157,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     held = words.select(F.explode(F.array_distinct(F.transform(places, lambda p: F.substring("word", p, F.lit(Q))))).alias("gram"))
     counts = {r["gram"]: r["n"] for r in held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).collect()}  # 8,100 at most
     index = materialise(
-        words.select("word").mapInArrow(_indexer(counts), "gram int, place int, size int, last int, pivot boolean, word string"),
+        words.select("word").mapInArrow(_indexer(counts), "part string, size int, last int, pivot boolean, word string"),
         "gram-index",
     )
-    # size and place that the gram may have in a word of the same or of another length
-    moves = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(p).alias("p")) for s, p in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))])
-    probes = index.where("pivot").select("gram", F.col("word").alias("other"), F.col("last").alias("end"), "size", "place", F.explode(moves).alias("m"))
-    probes = probes.select("gram", "other", "end", (F.col("size") + F.col("m.s")).alias("size"), (F.col("place") + F.col("m.p")).alias("place"))
-    same = (F.col("end") <= F.col("last")) & (F.levenshtein("other", "word", EDITS) == 1)
-    met = probes.join(index.drop("pivot"), ["gram", "place", "size"]).where(same)
+    sizes = F.explode(F.array(*[F.col("size") + d for d in range(-EDITS, EDITS + 1)]))
+    probes = index.where("pivot").select("part", sizes.alias("size"), F.col("word").alias("other"), F.col("last").alias("end"))
+    near = (F.col("end") <= F.col("last")) & (F.levenshtein("other", "word", EDITS) == 1)
+    met = probes.join(index.drop("pivot"), ["part", "size"]).where(near)
     return met.select(F.least("word", "other").alias("a"), F.greatest("word", "other").alias("b")).distinct()
 
 
