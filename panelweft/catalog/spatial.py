@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelweft.catalog import inputs as src
 from panelweft.catalog.inputs import GRID, WEIGHT_YEAR, sql
 from panelweft.functions.columns import country_of
-from panelweft.operators import zonal
+from panelweft.operators import outlines, zonal
 from panelweft.operators.zonal import Grid
 from panelweft.plans import zonal as zonal_plan
 from panelweft.plans.zonal import ZonalInputs
@@ -203,13 +203,74 @@ def zonal_fallback(spark, d):
 SQUARE = [(0, "lon0", "lat0"), (0, "lon0", "lat1"), (0, "lon1", "lat1"), (0, "lon1", "lat0")]
 
 
-def zonal_stage(spark, d):
-    """The whole stage, from outlines and cells to the cached tables."""
-    outlines = _rings(spark, d, SQUARE).withColumnRenamed("region", "hierid")
+#: Two rings on a coarse lattice: they cross, touch and lie on each other.
+LATTICE = [
+    (
+        ring,
+        f"(s_suppkey * 7919 % 3200) / 10.0D - 160 + (s_suppkey * {i + 2} * {31 + 7 * ring} + {i * i * 17}) % 13 * 0.25D",
+        f"(s_suppkey * 104729 % 1400) / 10.0D - 70 + (s_suppkey * {i + 3} * {17 + 5 * ring} + {i * 29}) % 11 * 0.25D",
+    )
+    for ring in (0, 1)
+    for i in range(6)
+]
+
+
+def ring_contacts(spark, d):
+    """Every pair of edges of a region that meets, with the point."""
+    out = outlines.ring_contacts(_rings(spark, d, LATTICE))
+    return out.withColumns({c: F.round(c, 11) for c in ("lon", "lat")})
+
+
+def _second_ring(corner):
+    """A corner of the second ring: a hole, a ring that turns like the first, one
+    that overlaps it, or one beside it, by supplier."""
+    x, y = corner
+    same = _HOLE["lon1" if x else "lon0"], _HOLE["lat1" if y else "lat0"]
+    hole = _HOLE["lon1" if y else "lon0"], _HOLE["lat1" if x else "lat0"]
+    over = f"(lon0 + lon1) / 2 + {x} * (lon1 - lon0)", f"(lat0 + lat1) / 2 + {y} * (lat1 - lat0)"
+    beside = f"lon1 + 1 + {x}", f"lat1 + 1 + {y}"
+    kinds = (hole, same, over, beside)
+    return tuple(
+        "case s_suppkey % 4 " + " ".join(f"when {k} then {v[c]}" for k, v in enumerate(kinds)) + " end" for c in (0, 1)
+    )
+
+
+PAIRS = [
+    *((0, ("lon0", "lon1")[x], ("lat0", "lat1")[y]) for x, y in ((0, 0), (1, 0), (1, 1), (0, 1))),
+    *((1, *_second_ring(c)) for c in ((0, 0), (1, 0), (1, 1), (0, 1))),
+]
+
+
+def outline_faults(spark, d):
+    """Holes and rings side by side are fine; what overlaps is named."""
+    out = outlines.outline_faults(_rings(spark, d, PAIRS))
+    return out.withColumns({c: F.round(c, 9) for c in ("lon", "lat")})
+
+
+def _staged(spark, d):
+    vertices = _rings(spark, d, SQUARE).withColumnRenamed("region", "hierid")
     inputs = ZonalInputs(
-        outlines, src.cell_values(spark, d), src.cell_people(spark, d), GRID, WEIGHT_YEAR, range(1995, 2002)
+        vertices, src.cell_values(spark, d), src.cell_people(spark, d), GRID, WEIGHT_YEAR, range(1995, 2002)
     )
-    tables = zonal_plan.zonal_stage(spark, staging_path(spark, "zonal_stage"), inputs)
+    return zonal_plan.zonal_stage(spark, staging_path(spark, "zonal_stage"), inputs)
+
+
+def zonal_validation(spark, d):
+    """Regional income of the stage, averaged over people, next to the mean
+    value of an order of the year."""
+    published = src.cell_orders(spark, d).groupBy("year").agg((F.sum("total") / F.sum("n_orders")).alias("published"))
+    years = F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year")
+    countries = src.boxes(spark, d).select(F.col("country").alias("iso3")).distinct().select("iso3", years)
+    out = zonal_plan.validation_report(_staged(spark, d), countries.join(published, "year"))
+    return out.select(
+        "iso3", "year", F.round(F.col("natavg") / 100, 3).alias("natavg"), F.round("ratio", 9).alias("ratio"),
+        F.round("pct_diff", 7).alias("pct_diff"),
+    )
+
+
+def zonal_stage(spark, d):
+    """The whole stage, from outlines and cells to the cached tables."""
+    tables = _staged(spark, d)
     people = tables["region_pop"].select("hierid", "year", F.round("pop", 7).alias("pop"))
     density = tables["region_density"].select(
         "hierid", "year", F.round(F.col("pop_wtd_density") * 1e6, 5).alias("density")
@@ -272,7 +333,84 @@ _VALIDATION = """SELECT country, year, natavg, natavg / published AS ratio,
         WHERE gdppc IS NOT NULL AND pop > 0 GROUP BY 1, 2)
   JOIN (SELECT year, sum(total) / sum(n_orders) AS published FROM cell_orders GROUP BY 1) USING (year)"""
 
+
+
+def _lattice_sql():
+    """Every pair of edges of a region, judged in whole numbers."""
+    double = lambda e: e.replace("0.0D", "0.0::DOUBLE").replace("0.25D", "0.25::DOUBLE")
+    points = ", ".join(
+        f"{{'ring': {ring}, 'seq': {seq}, 'lon': {double(lon)}, 'lat': {double(lat)}}}"
+        for seq, (ring, lon, lat) in _numbered(LATTICE)
+    )
+    side = lambda a, b, c: (
+        f"sign(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}))"
+    )
+    p = {f"{e}{n}": (f"{e}.x{n}", f"{e}.y{n}") for e in "ab" for n in (0, 1)}
+    s = [side(p["a0"], p["a1"], p["b0"]), side(p["a0"], p["a1"], p["b1"]), side(p["b0"], p["b1"], p["a0"]), side(p["b0"], p["b1"], p["a1"])]
+
+    def inside(c, a, b, s):
+        at = " AND ".join(f"{c[i]} BETWEEN least({a[i]}, {b[i]}) AND greatest({a[i]}, {b[i]})" for i in (0, 1))
+        return f"{s} = 0 AND {at} AND ({c[0]}, {c[1]}) <> ({a[0]}, {a[1]}) AND ({c[0]}, {c[1]}) <> ({b[0]}, {b[1]})"
+
+    touch = [(p["b0"], p["a0"], p["a1"], "s0"), (p["b1"], p["a0"], p["a1"], "s1"), (p["a0"], p["b0"], p["b1"], "s2"), (p["a1"], p["b0"], p["b1"], "s3")]
+    lies = "s0 = 0 AND s1 = 0 AND s2 = 0 AND s3 = 0"
+    along = (
+        "((b.x0 - a.x0)::DOUBLE * (b.y1 - b.y0)::DOUBLE - (b.y0 - a.y0)::DOUBLE * (b.x1 - b.x0)::DOUBLE)"
+        " / ((a.x1 - a.x0)::DOUBLE * (b.y1 - b.y0)::DOUBLE - (a.y1 - a.y0)::DOUBLE * (b.x1 - b.x0)::DOUBLE)"
+    )
+    found = " ".join(f"WHEN {inside(c, a, b, s)} THEN {{'r': 'touches', 'x': {c[0]}::DOUBLE, 'y': {c[1]}::DOUBLE}}" for c, a, b, s in touch)
+    box = src._SQL["boxes"].strip()
+    return f"""
+WITH boxes AS ({box}),
+v AS (SELECT region, u.p.ring AS ring, u.p.seq AS seq, floor(u.p.lon * 1099511627776 + 0.5)::HUGEINT AS x, floor(u.p.lat * 1099511627776 + 0.5)::HUGEINT AS y
+  FROM (SELECT region, unnest([{points}]) AS p FROM boxes) u),
+e0 AS (SELECT region, ring, seq, x AS x0, y AS y0, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1,
+    coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1 FROM v WINDOW w AS (PARTITION BY region, ring ORDER BY seq)),
+e AS (SELECT * FROM e0 WHERE (x0, y0) <> (x1, y1)),
+g AS (SELECT region, least(row(x0, y0), row(x1, y1)) AS p, greatest(row(x0, y0), row(x1, y1)) AS q, min(row(ring, seq)) AS one,
+    max(row(ring, seq)) AS other, count(*) AS n FROM e GROUP BY 1, 2, 3),
+d AS (SELECT region, one, p[1] AS x0, p[2] AS y0, q[1] AS x1, q[2] AS y1 FROM g),
+m AS (SELECT a.region, a.one, b.one AS other, {s[0]} AS s0, {s[1]} AS s1, {s[2]} AS s2, {s[3]} AS s3, a, b
+  FROM d a JOIN d b ON a.region = b.region AND a.one < b.one),
+c AS (SELECT region, one, other, CASE
+  WHEN {lies} THEN CASE WHEN greatest(row(a.x0, a.y0), row(b.x0, b.y0)) < least(row(a.x1, a.y1), row(b.x1, b.y1))
+    THEN {{'r': 'overlaps', 'x': greatest(row(a.x0, a.y0), row(b.x0, b.y0))[1]::DOUBLE, 'y': greatest(row(a.x0, a.y0), row(b.x0, b.y0))[2]::DOUBLE}} END
+  WHEN s0 * s1 < 0 AND s2 * s3 < 0 THEN {{'r': 'crosses', 'x': a.x0 + {along} * (a.x1 - a.x0), 'y': a.y0 + {along} * (a.y1 - a.y0)}}
+  {found} END AS met FROM m),
+k AS (SELECT region, one, other, met.r AS reason, met.x AS x, met.y AS y FROM c WHERE met IS NOT NULL
+  UNION ALL SELECT region, one, other, 'overlaps', p[1], p[2] FROM g WHERE n > 1
+  UNION ALL SELECT region, w[1], w[2], 'touches', x0, y0
+    FROM (SELECT region, x0, y0, list_sort(list(row(ring, seq))) AS w FROM e GROUP BY 1, 2, 3) WHERE len(w) > 1)
+SELECT region, one[1] AS ring_id, one[2] AS seq, other[1] AS other_ring, other[2] AS other_seq, reason,
+  round(x / 1099511627776, 11) AS lon, round(y / 1099511627776, 11) AS lat FROM k
+"""
+
+
 QUERIES = {
+    "ring_contacts": (ring_contacts, _lattice_sql()),
+    "outline_faults": (
+        outline_faults,
+        sql(
+            "boxes",
+            tail="""
+SELECT region, 1::INTEGER AS ring_id, 1::INTEGER AS other_ring, 'covered twice' AS reason,
+  round(CASE s_suppkey % 4 WHEN 1 THEN (3 * lon0 + lon1) / 4 ELSE (lon0 + lon1) / 2 END, 9) AS lon,
+  round(CASE s_suppkey % 4 WHEN 1 THEN (3 * lat0 + lat1) / 4 ELSE (lat0 + lat1) / 2 END, 9) AS lat
+FROM boxes WHERE s_suppkey % 4 IN (1, 2)
+UNION ALL
+SELECT region, 0, 1, 'crosses', round((lon0 + lon1) / 2, 9), round(lat1, 9) FROM boxes WHERE s_suppkey % 4 = 2""",
+        ),
+    ),
+    "zonal_validation": (
+        zonal_validation,
+        sql(
+            "zonal",
+            v=_VALIDATION,
+            tail="""
+SELECT country AS iso3, year, round(natavg / 100, 3) AS natavg, round(ratio, 9) AS ratio,
+  round(pct_diff, 7) AS pct_diff FROM v""",
+        ),
+    ),
     "coverage_boxes": (
         coverage_boxes,
         sql(

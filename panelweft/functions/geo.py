@@ -48,3 +48,22 @@ def cell_area_km2(row, y_top: float, res_y: float, res_x: float) -> Column:
     top = F.radians(F.lit(y_top) - row * F.lit(res_y))
     bottom = F.radians(F.lit(y_top) - (row + 1) * F.lit(res_y))
     return under(top) - under(bottom)
+
+
+UNIT_BITS = 40  # outlines are judged in whole numbers of 2^-40 degrees
+
+
+def snapped(degrees: Column) -> Column:
+    """Whole numbers of 2^-40 degrees (a ten-thousandth of a millimetre)."""
+    return F.floor(degrees * float(2**UNIT_BITS) + 0.5)
+
+
+def unsnapped(units: Column) -> Column:
+    """Degrees of snapped coordinates."""
+    return units / float(2**UNIT_BITS)
+
+
+def twice_area(x0, y0, x1, y1) -> Column:
+    """Aggregate: twice the signed area between snapped edges, exact."""
+    x0, y0, x1, y1 = (as_col(c).cast("decimal(19,0)") for c in (x0, y0, x1, y1))
+    return F.sum(x0 * y1 - x1 * y0)

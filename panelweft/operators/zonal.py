@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweft.functions.columns import as_col
-from panelweft.functions.geo import SPHERE_RADIUS_KM, cell_area_km2, lune_excess
+from panelweft.functions.geo import SPHERE_RADIUS_KM, cell_area_km2, lune_excess, snapped, twice_area
 from panelweft.scale import exact_median
 
 CELL = ["cell_row", "cell_col"]
@@ -55,7 +55,8 @@ def _clamp(value: Column, low, high) -> Column:
 
 
 def ring_edges(rings: DataFrame, region: str = "region", strict: bool = True) -> DataFrame:
-    """(region, ring_id, lon0, lat0, lon1, lat1): one row per ring edge.
+    """(region, ring_id, seq, lon0, lat0, lon1, lat1): one row per ring edge,
+    numbered by its first vertex.
 
     Vertices meet their successors in an equi-join on the full vertex key,
     so a ring of any length spreads over all tasks. Every ring gets one
@@ -70,7 +71,7 @@ def ring_edges(rings: DataFrame, region: str = "region", strict: bool = True) ->
     )
     point = F.struct("lon", "lat")
     ends = rings.groupBy(*ring).agg(
-        F.max_by(point, "seq").alias("tail"), F.min_by(point, "seq").alias("head"),
+        F.max("seq").alias("seq"), F.max_by(point, "seq").alias("tail"), F.min_by(point, "seq").alias("head"),
         (F.count(F.lit(1)) != F.max("seq") - F.min("seq") + 1).alias("broken"),
     )
     if strict:
@@ -79,16 +80,19 @@ def ring_edges(rings: DataFrame, region: str = "region", strict: bool = True) ->
         ends = ends.withColumn("tail", F.struct(tail.alias("lon"), F.col("tail.lat").alias("lat")))
     closing = ends.select(
         *ring,
+        "seq",
         F.col("tail.lon").alias("lon0"),
         F.col("tail.lat").alias("lat0"),
         F.col("head.lon").alias("lon1"),
         F.col("head.lat").alias("lat1"),
     )
-    return here.join(there, [*ring, "seq"]).drop("seq").unionByName(closing)
+    return here.join(there, [*ring, "seq"]).unionByName(closing)
 
 
-def coverage_fraction(rings: DataFrame, grid: Grid, region: str = "region") -> DataFrame:
-    """(region, cell_row, cell_col, frac): share of each cell covered."""
+def coverage_runs(rings: DataFrame, grid: Grid, region: str = "region") -> DataFrame:
+    """(region, cell_row, first_col, last_col, frac, whole): the covered share of
+    each cell that an edge runs through (first = last), and runs of cells between
+    them that are covered as a whole."""
     edges = ring_edges(rings, region).select(
         region,
         grid.x("lon0").alias("x0"),
@@ -159,23 +163,26 @@ def coverage_fraction(rings: DataFrame, grid: Grid, region: str = "region") -> D
         "left": F.coalesce(F.sum("height").over(before), F.lit(0.0)),
         "next_col": F.lead("cell_col", 1, grid.n_cols).over(along),
     })
-    run_end = F.when(F.col("inside") != 0, F.col("next_col") - 1).otherwise(F.col("cell_col"))
-    edge_share = F.abs(F.col("own") + F.col("left"))
-    at = F.col("at")
+    at = F.col("cell_col")
+    own = F.struct(
+        at.alias("first_col"), at.alias("last_col"), F.abs(F.col("own") + F.col("left")).alias("frac"), F.lit(False).alias("whole")
+    )
+    between = F.struct(
+        (at + 1).alias("first_col"), (F.col("next_col") - 1).alias("last_col"),
+        F.abs("inside").cast("double").alias("frac"), F.lit(True).alias("whole"),
+    )
     return (
-        entries.withColumn("at", F.explode(F.sequence(F.col("cell_col"), run_end)))
-        .select(
-            region,
-            "cell_row",
-            at.alias("cell_col"),
-            F.when(at == F.col("cell_col"), edge_share)
-            .otherwise(F.abs("inside").cast("double"))
-            .alias("frac"),
-        )
-        .where((F.col("frac") > 0) & (F.col("cell_col") >= 0))
+        entries.select(region, "cell_row", F.inline(F.array(own, between)))
+        .where((F.col("frac") > 0) & (F.col("first_col") >= 0) & (F.col("first_col") <= F.col("last_col")))
     )
 
 
+def coverage_fraction(rings: DataFrame, grid: Grid, region: str = "region") -> DataFrame:
+    """(region, cell_row, cell_col, frac): share of each cell covered."""
+    cells = F.explode(F.sequence("first_col", "last_col")).alias("cell_col")
+    return coverage_runs(rings, grid, region).select(region, "cell_row", cells, "frac")
+
+
 def box_coverage(boxes: DataFrame, grid: Grid, region: str = "region") -> DataFrame:
     """Coverage of lon/lat boxes (lon0, lat0, lon1, lat1): interval overlaps."""
     b = boxes.select(
@@ -218,18 +225,19 @@ def bad_regions(coverage: DataFrame, region: str = "region") -> DataFrame:
 
 def bad_rings(rings: DataFrame, region: str = "region") -> DataFrame:
     """Rings with gaps in their vertex numbers, fewer than three distinct
-    vertices (counted over consecutive repeats) or no area."""
+    vertices (counted over consecutive repeats) or no area, which is summed in
+    whole numbers. What rings do to each other is in `outlines`."""
     ring = [region, "ring_id"]
+    whole = {f"__{c}": snapped(F.col(c)) for c in ("lon0", "lat0", "lon1", "lat1")}
     shape = (
         ring_edges(rings, region, strict=False)
+        .withColumns(whole)
         .groupBy(*ring)
         .agg(
             F.count_if((F.col("lon0") != F.col("lon1")) | (F.col("lat0") != F.col("lat1"))).alias(
                 "n_edges"
             ),
-            F.sum(
-                F.col("lon0") * F.col("lat1") - F.col("lon1") * F.col("lat0")
-            ).alias("twice_area"),
+            twice_area(*whole).alias("twice_area"),
         )
     )
     numbering = rings.groupBy(*ring).agg(
@@ -238,7 +246,7 @@ def bad_rings(rings: DataFrame, region: str = "region") -> DataFrame:
     reason = (
         F.when(F.col("gaps"), "gaps in vertex numbers")
         .when(F.col("n_edges") < 3, "fewer than three vertices")
-        .when(F.abs("twice_area") < 1e-12, "zero area")
+        .when(F.col("twice_area") == 0, "zero area")
     )
     return (
         shape.join(numbering, ring)

@@ -197,3 +197,33 @@ def test_rings_with_gaps_are_refused(spark):
     with pytest.raises(Exception, match="vertex numbers of ring r/0"):
         zonal.coverage_fraction(rings, grid).collect()
     assert zonal.bad_rings(rings).collect()[0].reason == "gaps in vertex numbers"
+
+
+def test_sums_by_runs_equal_sums_by_cells(spark):
+    from panelweft.operators.zonal_runs import zonal_measures, zonal_sums
+
+    rnd = random.Random(4)
+    grid = Grid(x0=-20.0, y_top=15.0, res_x=0.25, res_y=0.5, n_rows=60, n_cols=160)
+    shapes = {f"s{i}": [star(rnd.uniform(-19, 19), rnd.uniform(-14, 14), rnd.uniform(0.1, 12), rnd.randint(3, 30), rnd)] for i in range(25)}
+    shapes["hole"] = [star(0, 0, 9, 50, random.Random(1)), star(0, 0, 2, 9, rnd, turn=-1)]
+    rings = rings_frame(spark, shapes)
+    size = lambda: 10 ** rnd.uniform(-9, 14)  # noqa: E731  small runs beside a large row
+    table = [
+        (r, c, y, None if rnd.random() < 0.2 else size(), None if rnd.random() < 0.2 else size(), 0.0 if rnd.random() < 0.4 else size())
+        for r in range(60) for c in range(160) for y in (1, 2) if rnd.random() < 0.7
+    ]
+    cells = spark.createDataFrame(table, "cell_row int, cell_col int, year int, value double, people double, weight double")
+    runs = zonal.coverage_runs(rings, grid)
+    got = {(r.region, r.year): r for r in zonal_measures(zonal_sums(runs, cells, grid, (1, 2))).collect()}
+    want = zonal.zonal_stats(
+        zonal.coverage_fraction(rings, grid), cells.withColumn("density", F.col("people") / grid.area_km2()),
+        by_people=zonal.weighted_mean("value", "weight"), by_area=zonal.area_mean("value"), pop=zonal.zonal_sum("people"),
+        pop_wtd_density=zonal.weighted_mean("density", "people"),
+    ).collect()
+    assert len(want) == len(got) > 40
+    for w in want:
+        for c in ("by_people", "by_area", "pop", "pop_wtd_density"):
+            assert got[w.region, w.year][c] == (None if w[c] is None else pytest.approx(w[c], rel=1e-12)), (w, c)
+    # joined rows follow the outline: boundary cells and runs, not all covered cells
+    n_runs, n_cells = runs.count(), zonal.coverage_fraction(rings, grid).count()
+    assert n_runs * 2 < n_cells
