@@ -13,6 +13,7 @@ from panelweft.plans import zonal as zonal_plan
 from panelweft.plans.zonal import ZonalInputs
 from panelweft.scale import staging_path
 from panelweft.sources import grids
+from panelweft.sources.tiles import TiledGrid
 
 GLOBE = Grid(x0=-180.0, y_top=90.0, res_x=2.5, res_y=2.5, n_rows=72, n_cols=144)
 
@@ -247,11 +248,28 @@ def outline_faults(spark, d):
     return out.withColumns({c: F.round(c, 9) for c in ("lon", "lat")})
 
 
-def _staged(spark, d):
+def _tiled(spark, cells, size):
+    """A grid written as tiles."""
+    out = TiledGrid(staging_path(spark, "tiles"), GRID, size)
+    out.write(cells)
+    return out
+
+
+def raster_tiles(spark, d):
+    """Cells written as tiles: what the tiles say of themselves, and the cells
+    that they give again."""
+    tiled = _tiled(spark, src.cell_values(spark, d), 16)
+    tiles = tiled.stored(spark)
+    again = tiled.cells(tiles).withColumn("tile", tiled.tile_of("cell_row", "cell_col"))
+    return again.join(tiles.select("tile", "year", "n", "low", "high", F.size("cells").alias("size")), ["tile", "year"])
+
+
+def _staged(spark, d, tiled=False):
     vertices = _rings(spark, d, SQUARE).withColumnRenamed("region", "hierid")
-    inputs = ZonalInputs(
-        vertices, src.cell_values(spark, d), src.cell_people(spark, d), GRID, WEIGHT_YEAR, range(1995, 2002)
-    )
+    values, people = src.cell_values(spark, d), src.cell_people(spark, d)
+    if tiled:
+        values, people = _tiled(spark, values, 16), _tiled(spark, people, 16)
+    inputs = ZonalInputs(vertices, values, people, GRID, WEIGHT_YEAR, range(1995, 2002))
     return zonal_plan.zonal_stage(spark, staging_path(spark, "zonal_stage"), inputs)
 
 
@@ -270,7 +288,15 @@ def zonal_validation(spark, d):
 
 def zonal_stage(spark, d):
     """The whole stage, from outlines and cells to the cached tables."""
-    tables = _staged(spark, d)
+    return _zonal_rows(_staged(spark, d))
+
+
+def zonal_tiles(spark, d):
+    """The stage from tiles, of which those that outlines meet are read."""
+    return _zonal_rows(_staged(spark, d, tiled=True))
+
+
+def _zonal_rows(tables):
     people = tables["region_pop"].select("hierid", "year", F.round("pop", 7).alias("pop"))
     density = tables["region_density"].select(
         "hierid", "year", F.round(F.col("pop_wtd_density") * 1e6, 5).alias("density")
@@ -315,6 +341,11 @@ def validate_national(spark, d):
     )
 
 
+def validation_by_year(spark, d):
+    out = zonal.validation_by_year(_validation(spark, d), 5.0)
+    return out.withColumn("median_ratio", F.round("median_ratio", 9))
+
+
 def validation_summary(spark, d):
     out = zonal.validation_summary(_validation(spark, d), WEIGHT_YEAR, 5.0)
     return out.select(F.round("median_ratio", 9).alias("median_ratio"), "n_over")
@@ -532,6 +563,34 @@ SELECT region AS hierid, year, round(gdppc / 100, 3) AS gdppc, zero_pop, round(p
   round(pop_wtd_density * 1e6, 5) AS density FROM zonal""",
         ),
     ),
+    "zonal_tiles": (
+        zonal_tiles,
+        sql(
+            "zonal",
+            tail="""
+SELECT region AS hierid, year, round(gdppc / 100, 3) AS gdppc, zero_pop, round(pop, 7) AS pop,
+  round(pop_wtd_density * 1e6, 5) AS density FROM zonal""",
+        ),
+    ),
+    "raster_tiles": (
+        raster_tiles,
+        sql(
+            "cells",
+            t="SELECT cell_row, cell_col, year, value, CAST(cell_row // 16 * 8 + cell_col // 16 AS BIGINT) AS tile FROM cells WHERE value IS NOT NULL",
+            tail="""
+SELECT tile, year, cell_row, cell_col, value, count(*) OVER w AS n, min(value) OVER w AS low, max(value) OVER w AS high,
+  256::INTEGER AS size FROM t WINDOW w AS (PARTITION BY tile, year)""",
+        ),
+    ),
+    "validation_by_year": (
+        validation_by_year,
+        sql(
+            "zonal",
+            v=_VALIDATION,
+            tail="""
+SELECT year, round(median(ratio), 9) AS median_ratio, count(*) FILTER (abs(pct_diff) > 5) AS n_over FROM v GROUP BY year""",
+        ),
+    ),
     "flagged_regions": (
         flagged_regions,
         sql("zonal", tail="SELECT count(DISTINCT region) AS n_flagged FROM zonal WHERE zero_pop"),

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from panelweft.catalog import inputs as src
 from panelweft.catalog.inputs import sql
+from panelweft.operators import hashtree
 from panelweft.operators.assemble import combos
+from panelweft.operators.quantiles import exact_quantiles
 from panelweft.scale import exact_median, staging_path
 from panelweft.sinks import writers
-from panelweft.sources.manifest import file_digests
+from panelweft.sources import manifest
 
 
 def _panel(spark, d):
@@ -84,26 +86,85 @@ def cached_tables(spark, d):
     )
 
 
+def quantiles(spark, d):
+    """Quartiles and median of three columns of the lineitems, per ship year and
+    return flag, exact."""
+    lines = src.table(spark, d, "lineitem").withColumn("year", F.year("l_shipdate"))
+    moved = lines.withColumn("signed", F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice") * (F.col("l_discount") - 0.05)))
+    out = exact_quantiles(moved, ["l_extendedprice", "l_quantity", "signed"], ["year", "l_returnflag"], [0.25, 0.5, 0.75])
+    return out.withColumn("value", F.round("value", 9))
+
+
+def _versions(spark, d):
+    """A regional table, and a version of it with values changed, rows dropped
+    and rows added, two equal ones among them."""
+    old = src.raw_values(spark, d).select("country", "region", "year", "raw")
+    key = F.substring_index("region", ".", -1).cast("long")
+    nation = src.table(spark, d, "nation").select(F.col("n_name").alias("country"), "n_nationkey")
+    both = old.join(nation, "country").withColumn("k", key).where("not (n_nationkey % 5 = 1 and k % 7 = 2 and year = 1997)")
+    raw = F.when((F.col("n_nationkey") % 5 == 2) & (F.col("k") % 11 == 3), F.col("raw") + 1).otherwise(F.col("raw"))
+    new = both.select("country", "region", "year", raw.alias("raw"), "n_nationkey", "k")
+    added = new.where("n_nationkey % 5 = 3 and k % 13 = 4").select("country", "region", "year", (F.col("raw") * 0 + 7).alias("raw"))
+    new = new.select("country", "region", "year", "raw").unionByName(added).unionByName(added)
+    root = staging_path(spark, "versions")
+    for name, table in (("a", old), ("b", new)):
+        hashtree.write_version(table, f"{root}/{name}", ["country", "region"])
+    return hashtree.compare_versions(spark, f"{root}/a", f"{root}/b", ["country", "region"])
+
+
+def version_diff(spark, d):
+    """The rows in which two written versions differ."""
+    return _versions(spark, d)[1]
+
+
+def version_steps(spark, d):
+    """How many nodes of the trees were compared on the way to the differences."""
+    found, _ = _versions(spark, d)
+    return spark.createDataFrame(found.steps, "depth int, compared long, differing long")
+
+
 def provenance(spark, d):
-    """Settings and content fingerprints; a rewritten copy of the panel must
-    have the same fingerprint."""
+    """What provenance says of a panel, and whether it says the same of a written
+    copy, of a copy with every row of a year twice more, and of one in which the
+    values of two measures are exchanged where they differ."""
     panel = _panel(spark, d)
     path = staging_path(spark, "copy")
-    writers.write_cube(
-        panel.withColumns({f"{c}_code": F.col(c) for c in ("scenario", "hierid", "gdp_model", "year")}),
-        path,
-    )
+    writers.write_cube(panel.withColumns({f"{c}_code": F.col(c) for c in ("scenario", "hierid", "gdp_model", "year")}), path)
     copy = spark.read.parquet(path).select(*panel.columns)
-    a = writers.fingerprints(panel)
-    b = writers.fingerprints(copy).withColumnsRenamed({"n_rows": "n_copy", "content_hash": "copy_hash"})
-    return a.join(b, ["scenario", "gdp_model"]).select(
-        "scenario", "gdp_model", "n_rows", "n_copy", (F.col("content_hash") == F.col("copy_hash")).alias("same")
+    some = copy.where("year = 1998 and scenario = 'SSP2'")
+    doubled = copy.unionByName(some).unionByName(some)
+    turn = F.col("gdp_model") == "OECD"
+    swapped = copy.withColumns({
+        "gdppc": F.when(turn, F.col("pop")).otherwise(F.col("gdppc")), "pop": F.when(turn, F.col("gdppc")).otherwise(F.col("pop"))
+    })
+    said = lambda df, name: writers.provenance(spark, {"version": "1.0.0"}, df).select("item", F.col("value").alias(name))
+    out = said(panel, "value")
+    for name, df in (("copy", copy), ("doubled", doubled), ("swapped", swapped)):
+        out = out.join(said(df, name), "item")
+    return out.select(
+        "item", F.substring_index("value", " ", 1).alias("first"),
+        *[(F.col(n) == F.col("value")).alias(f"same_{n}") for n in ("copy", "doubled", "swapped")],
     )
 
 
-def input_files(spark, d):
-    """Size and checksum form of the given files themselves."""
-    return file_digests(spark, d).select("path", F.length("md5").alias("digits"))
+def file_manifest(spark, d):
+    """Customers written as text files, one for each five hundred keys; their sizes
+    and checksums, and what a manifest says that holds wrong and missing entries."""
+    lines = src.table(spark, d, "customer").select(
+        F.floor(F.col("c_custkey") / 500).alias("part"), "c_custkey",
+        F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("value"),
+    )
+    path = staging_path(spark, "files")
+    dealt = lines.repartition("part").sortWithinPartitions("part", "c_custkey")
+    dealt.select("part", "value").write.partitionBy("part").option("lineSep", "\n").text(path)
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1)
+    whole = 20_000  # larger files are read in ranges
+    files = manifest.file_digests(spark, path, whole=whole, part=4096).where("bytes > 0").withColumn("path", part)
+    number = F.col("path").cast("long")
+    listed = files.select("path", F.when(number % 3 == 1, F.md5("md5")).otherwise(F.col("md5")).alias("md5"), F.lit(None).cast("string").alias("fetch"))
+    absent = files.select(F.concat("path", F.lit("-lost")).alias("path"), "md5", F.when(number % 2 == 0, "manual").alias("fetch"))
+    status = manifest.verify_inputs(files, listed.unionByName(absent))
+    return status.join(files, "path", "left").select("path", "status", "bytes", "md5", "tree")
 
 
 _FULL = """SELECT scenario, gdp_model, region AS hierid, CAST(y.range AS INTEGER) AS year, raw AS gdppc, weight AS pop
@@ -111,6 +172,17 @@ _FULL = """SELECT scenario, gdp_model, region AS hierid, CAST(y.range AS INTEGER
   CROSS JOIN (VALUES ('SSP2'), ('SSP3')) s(scenario) CROSS JOIN (VALUES ('OECD'), ('IIASA')) m(gdp_model)
   LEFT JOIN (SELECT region AS rr, year AS yy, raw FROM raw_values) v ON rr = region AND yy = y.range"""
 
+_VERSIONS = {
+    "old": "SELECT country, region, nationkey, year, raw, CAST(split_part(region, '.', -1) AS BIGINT) AS k FROM raw_values",
+    "changed": """SELECT country, region, year, raw + CASE WHEN nationkey % 5 = 2 AND k % 11 = 3 THEN 1 ELSE 0 END AS raw, nationkey, k
+  FROM old WHERE NOT (nationkey % 5 = 1 AND k % 7 = 2 AND year = 1997)""",
+    "new": """SELECT country, region, year, raw FROM changed UNION ALL
+  SELECT country, region, year, 7 FROM changed, range(2) WHERE nationkey % 5 = 3 AND k % 13 = 4""",
+    "diff": """SELECT * FROM (SELECT country, region, year, raw, count(*) FILTER (side = 0) AS n_a, count(*) FILTER (side = 1) AS n_b
+  FROM (SELECT country, region, year, raw, 0 AS side FROM old UNION ALL SELECT country, region, year, raw, 1 FROM new)
+  GROUP BY 1, 2, 3, 4) WHERE n_a <> n_b""",
+}
+
 QUERIES = {
     "cube_codes": (
         cube_codes,
@@ -149,9 +221,49 @@ FROM control c JOIN revenue r USING (country, nationkey, year)""",
             "regions",
             "raw_values",
             p=_FULL,
+            q="""SELECT * REPLACE (CASE gdp_model WHEN 'OECD' THEN pop ELSE gdppc END AS gdppc, CASE gdp_model WHEN 'OECD' THEN gdppc ELSE pop END AS pop) FROM p""",
+            moved="""SELECT scenario, gdp_model, count(*) AS n FROM (SELECT * FROM q EXCEPT ALL SELECT * FROM p) GROUP BY 1, 2""",
+            tail="""
+SELECT 'version' AS item, '1.0.0' AS "first", true AS same_copy, true AS same_doubled, true AS same_swapped
+UNION ALL
+SELECT 'content/' || scenario || '/' || gdp_model, count(*)::VARCHAR, true,
+  count(*) FILTER (year = 1998 AND scenario = 'SSP2') = 0, coalesce(any_value(n), 0) = 0
+FROM p LEFT JOIN moved USING (scenario, gdp_model) GROUP BY scenario, gdp_model""",
+        ),
+    ),
+    "quantiles": (
+        quantiles,
+        """
+WITH l AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag, l_extendedprice, l_quantity,
+  CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice * (l_discount - 0.05::DOUBLE) END AS signed FROM lineitem),
+s AS (SELECT year, l_returnflag, 'l_extendedprice' AS "column", l_extendedprice AS v FROM l
+  UNION ALL SELECT year, l_returnflag, 'l_quantity', l_quantity FROM l UNION ALL SELECT year, l_returnflag, 'signed', signed FROM l),
+g AS (SELECT year, l_returnflag, "column", count(v) AS n, quantile_cont(v, [0.25, 0.5, 0.75]) AS q FROM s GROUP BY ALL HAVING count(v) > 0)
+SELECT year, l_returnflag, "column", p.p::DOUBLE AS prob, n, round(q[p.i], 9) AS value
+FROM g, (VALUES (1, 0.25), (2, 0.5), (3, 0.75)) p(i, p)""",
+    ),
+    "version_diff": (version_diff, sql("raw_values", **_VERSIONS, tail="SELECT * FROM diff")),
+    "version_steps": (
+        version_steps,
+        sql(
+            "raw_values",
+            **_VERSIONS,
             tail="""
-SELECT scenario, gdp_model, count(*) AS n_rows, count(*) AS n_copy, true AS same FROM p GROUP BY 1, 2""",
+SELECT 0::INTEGER AS depth, 1::BIGINT AS compared, 1::BIGINT AS differing
+UNION ALL SELECT 1, (SELECT count(DISTINCT country) FROM old), (SELECT count(DISTINCT country) FROM diff)
+UNION ALL SELECT 2, (SELECT count(DISTINCT region) FROM old WHERE country IN (SELECT country FROM diff)),
+  (SELECT count(DISTINCT region) FROM diff)""",
         ),
     ),
-    "input_files": (input_files, None),
+    "file_manifest": (
+        file_manifest,
+        """
+WITH l AS (SELECT c_custkey // 500 AS part, string_agg(c_custkey || ',' || c_name || ',' || c_nationkey || ',' || c_mktsegment, chr(10) ORDER BY c_custkey) || chr(10) AS body
+  FROM customer GROUP BY 1),
+f AS (SELECT part, length(body) AS bytes, md5(body) AS md5,
+  md5(array_to_string(list_transform(range(CAST(ceil(length(body) / 4096.0) AS BIGINT)), lambda i: md5(substr(body, i * 4096 + 1, 4096))), '')) AS tree FROM l)
+SELECT part::VARCHAR AS path, CASE part % 3 WHEN 1 THEN 'mismatch' ELSE 'ok' END AS status, bytes, md5, tree FROM f
+UNION ALL
+SELECT part || '-lost', CASE part % 2 WHEN 0 THEN 'missing (manual)' ELSE 'missing (auto)' END, NULL, NULL, NULL FROM f""",
+    ),
 }

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelweft.functions.columns import as_col
 from panelweft.functions.geo import SPHERE_RADIUS_KM, cell_area_km2, lune_excess, snapped, twice_area
-from panelweft.scale import exact_median
+from panelweft.operators.quantiles import exact_quantiles
 
 CELL = ["cell_row", "cell_col"]
 TWICE = 1e-9  # by how much a share must exceed 1 to mean covered twice
@@ -395,10 +395,16 @@ def validate_national(
     )
 
 
-def validation_summary(
-    validation: DataFrame, year: int, threshold: float, time: str = "year"
-) -> DataFrame:
+def validation_by_year(validation: DataFrame, threshold: float, time: str = "year") -> DataFrame:
+    """Per year: median ratio, and number of countries beyond the threshold."""
+    over = validation.groupBy(time).agg(F.count_if(F.coalesce(F.abs("pct_diff") > threshold, F.lit(False))).alias("n_over"))
+    medians = exact_quantiles(validation, ["ratio"], [time]).select(time, F.col("value").alias("median_ratio"))
+    return over.join(medians, time, "left").select(time, "median_ratio", "n_over")
+
+
+def validation_summary(validation: DataFrame, year: int, threshold: float, time: str = "year") -> DataFrame:
     """Base-year median ratio and number of countries beyond the threshold."""
     base = validation.where(F.col(time) == year)
-    over = base.agg(F.count_if(F.abs("pct_diff") > threshold)).scalar()
-    return exact_median(base, "ratio", "median_ratio").withColumn("n_over", over)
+    return validation_by_year(base, threshold, time).agg(
+        F.max("median_ratio").alias("median_ratio"), F.coalesce(F.sum("n_over"), F.lit(0)).alias("n_over")
+    )

@@ -75,6 +75,17 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(at).getLength()
 
 
+def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and sizes of the files below a path, hidden ones left out."""
+    files, at = _hadoop(spark, path)
+    found, each = [], files.listFiles(at, True)
+    while each.hasNext():
+        one = each.next()
+        if not one.getPath().getName().startswith((".", "_")):
+            found.append((one.getPath().toString(), one.getLen()))
+    return sorted(found)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelweft.functions.columns import distinct_years
 from panelweft.operators.checks import enforce
+from panelweft.operators.hashtree import SUMS, content_sums
 from panelweft.scale import is_complete, materialise, running_total
 
 COMBO = ["scenario", "gdp_model"]
@@ -129,24 +130,27 @@ def write_cube(cube: DataFrame, path: str, dims: Sequence[str] = ("scenario", "h
 
 
 def fingerprints(panel: DataFrame, by: Sequence[str] = tuple(COMBO)) -> DataFrame:
-    """Row count and order-free content hash of each combination."""
-    content = F.xxhash64(*panel.columns)
-    return panel.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.bit_xor(content).alias("content_hash")
-    )
+    """Row count and two order-free content sums of each combination; equal rows
+    do not cancel in them."""
+    return panel.groupBy(*by).agg(*content_sums(sorted(panel.columns)))
 
 
-def provenance(spark: SparkSession, entries: dict[str, str], panel: DataFrame | None = None) -> DataFrame:
-    """(item, value) rows: version, date, settings, source versions, and a
-    fingerprint per combination."""
+def provenance(
+    spark: SparkSession, entries: dict[str, str], panel: DataFrame | None = None, files: DataFrame | None = None
+) -> DataFrame:
+    """(item, value) rows: version, date, settings, source versions, a fingerprint
+    per combination, and size and checksum of each file (path, bytes, md5)."""
     rows = spark.createDataFrame(list(entries.items()), "item string, value string")
-    if panel is None:
-        return rows
-    prints = fingerprints(panel).select(
-        F.concat_ws("/", F.lit("content"), *COMBO).alias("item"),
-        F.concat_ws(" ", F.col("n_rows").cast("string"), F.hex("content_hash")).alias("value"),
-    )
-    return rows.unionByName(prints)
+    if panel is not None:
+        prints = fingerprints(panel).select(
+            F.concat_ws("/", F.lit("content"), *COMBO).alias("item"),
+            F.concat_ws(" ", *(F.col(c).cast("string") for c in SUMS)).alias("value"),
+        )
+        rows = rows.unionByName(prints)
+    if files is not None:
+        named = files.select(F.concat(F.lit("file/"), "path").alias("item"), F.concat_ws(" ", F.col("bytes").cast("string"), "md5").alias("value"))
+        rows = rows.unionByName(named)
+    return rows
 
 
 def with_dictionary(df: DataFrame, dictionary: dict[str, dict]) -> DataFrame:
