@@ -117,10 +117,11 @@ def _flag_totals(spark, d):
 
 
 def _knot_shares(spark, d):
-    parts = _flag_totals(spark, d).where("nationkey % 6 <> 5")
+    # parts and total are both read from one staged table
+    parts = materialise(_flag_totals(spark, d), "flag-totals").where("nationkey % 6 <> 5")
     parts = parts.where("year in (1996, 1998, 2000) and not (nationkey = 7 and year = 1998)")
     total = parts.select("country", "year", F.expr("a + n + r").alias("total"))
-    return cohorts.shares(parts, total, ["country", "year"], PARTS)
+    return materialise(cohorts.shares(parts, total, ["country", "year"], PARTS), "knot-shares")
 
 
 def shares(spark, d):

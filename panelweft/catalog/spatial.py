@@ -131,8 +131,7 @@ def polygon_area(spark, d):
 def ring_table(spark, d):
     """Ring contract checked, regions listed with their country."""
     rings = _rings(spark, d, DIAMOND).withColumnRenamed("region", "hierid")
-    checked = grids.rings_from_vertices(rings.where("abs(lat) <= 90 and abs(lon) <= 180"))
-    return grids.regions_of(checked)
+    return grids.regions_of(grids.rings_from_vertices(rings))
 
 
 def region_country(spark, d):

@@ -8,9 +8,12 @@ from panelweft.catalog import inputs as src
 from panelweft.catalog.inputs import sql
 from panelweft.operators import hashtree
 from panelweft.operators.assemble import combos
+from panelweft.operators.checks import Expected, panel_checks
 from panelweft.operators.quantiles import exact_quantiles
+from panelweft.plans.config import handoff_year
 from panelweft.scale import exact_median, staging_path
 from panelweft.sinks import writers
+from panelweft.sinks.chunks import ChunkedCube
 from panelweft.sources import manifest
 
 
@@ -50,24 +53,67 @@ def exact_medians(spark, d):
     return exact_median(src.table(spark, d, "lineitem"), "l_extendedprice", "median_price")
 
 
+def cube_chunks(spark, d):
+    """A slice of the cube stored in chunks: some labels of three dimensions."""
+    coded = writers.to_cube(_panel(spark, d), ["gdppc", "pop"])
+    lengths = {"scenario": 1, "gdp_model": 1, "hierid": 64, "year": 4}
+    cube = ChunkedCube(staging_path(spark, "chunks"), ("scenario", "hierid", "gdp_model", "year"), ("gdppc", "pop"), lengths)
+    cube.write(coded)
+    return cube.read(spark, scenario=["SSP3"], gdp_model=["IIASA GDP"], year=[1996, 1999, 2000])
+
+
+def _checked_panel(spark, d):
+    """A full grid with every column that the gates look at."""
+    base = _panel(spark, d).withColumn("hierid", F.concat(F.lit("N"), F.col("hierid")))
+    number = F.substring_index("hierid", ".", -1).cast("long")
+    income = F.coalesce(F.col("gdppc") / 100, F.lit(0.0))
+    return base.select(
+        "scenario", "gdp_model", "hierid", F.substring_index("hierid", ".", 1).alias("iso3"), "year",
+        F.least(income, F.lit(9e6)).alias("gdppc"), F.least(income, F.lit(9e6)).alias("gdppc_raw"),
+        F.least(income, F.lit(9e6)).alias("gdppc_raw0"), (F.least(income, F.lit(9e6)) * F.col("pop")).alias("gdp"), "pop",
+        (number % 97 + 1).cast("double").alias("area_km2"), (F.col("pop") / (number % 97 + 1)).alias("pop_density"),
+        F.lit(1.0).alias("pop_wtd_density"), (F.col("pop") * 0.25).alias("pop0to4"), (F.col("pop") * 0.5).alias("pop5to64"),
+        (F.col("pop") * 0.25).alias("pop65plus"),
+    )
+
+
 def written_panels(spark, d):
-    """Panels written as gated CSV folders, read back."""
+    """Panels written as CSV folders behind all gates on whole panels, read back."""
     path = staging_path(spark, "panels")
-    panel = _panel(spark, d)
-    gate = panel.groupBy("scenario", "gdp_model").agg(
-        F.lit("some_rows").alias("check"),
-        (F.count(F.lit(1)) > 0).alias("ok"),
-        F.lit(0).alias("n_bad"),
-        F.lit("").alias("detail"),
-    )
-    writers.write_panels(panel, f"{path}/1.0.0", gate, version="1.0.0")
+    panel = _checked_panel(spark, d)
+    pairs = tuple((s, m) for s in ("SSP2", "SSP3") for m in ("IIASA", "OECD"))
+    wanted = Expected(src.table(spark, d, "customer").count(), 1995, 2001, combinations=pairs)
+    writers.write_panels(panel, f"{path}/1.0.0", panel_checks(panel, wanted, ["scenario", "gdp_model"]), version="1.0.0")
+    kinds = ", ".join(f"{c} double" for c in panel.columns[5:])
     return spark.read.csv(
-        f"{path}/1.0.0",
-        header=True,
-        schema="hierid string, year int, gdppc double, pop double, scenario string, gdp_model string",
+        f"{path}/1.0.0", header=True, schema=f"hierid string, iso3 string, year int, {kinds}, scenario string, gdp_model string"
     )
 
 
+def stage_file(spark, d):
+    """A stage table as text, with its spelling of gaps."""
+    path = staging_path(spark, "stage")
+    writers.write_stage(_panel(spark, d).where("gdp_model = 'OECD'"), path, ["scenario", "hierid", "year"])
+    back = spark.read.csv(path, header=True)
+    return back.groupBy("scenario", F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("gdppc") == "NA").alias("n_gaps"),
+        F.round(F.sum(F.col("pop").cast("double")), 2).alias("pop"),
+    )
+
+
+def handoff_years(spark, d):
+    """The last year of estimates that a run takes, for every setting that order
+    years suggest: years before 2020 and behind 2099 are refused."""
+    years = src.table(spark, d, "orders").select((F.year("o_orderdate") * 40 - F.lit(77881)).alias("setting")).distinct()
+    rows = []
+    for r in years.orderBy("setting").collect():  # one per order year
+        try:
+            rows.append((r["setting"], handoff_year(r["setting"])))
+        except ValueError:
+            rows.append((r["setting"], None))
+    return spark.createDataFrame(rows, "setting int, handoff int")
+
+
 def cached_tables(spark, d):
     """Two tables built once, then served from the folder."""
     path = staging_path(spark, "cache")
@@ -204,7 +250,50 @@ SELECT label, row_number() OVER (ORDER BY label) - 1 AS code
 FROM (SELECT DISTINCT source || '/' || lang || '/' || n_chars AS label FROM documents)""",
     ),
     "exact_median": (exact_medians, "SELECT median(l_extendedprice) AS median_price FROM lineitem"),
-    "written_panels": (written_panels, sql("regions", "raw_values", p=_FULL, tail="SELECT * FROM p")),
+    "cube_chunks": (
+        cube_chunks,
+        sql(
+            "regions",
+            "raw_values",
+            p=_FULL,
+            tail="""
+SELECT * FROM (SELECT scenario, hierid, CASE gdp_model WHEN 'OECD' THEN 'OECD Env-Growth' ELSE 'IIASA GDP' END AS gdp_model, year,
+    dense_rank() OVER (ORDER BY scenario) - 1 AS scenario_code, dense_rank() OVER (ORDER BY hierid) - 1 AS hierid_code,
+    dense_rank() OVER (ORDER BY gdp_model) - 1 AS gdp_model_code, CAST(year - 1995 AS BIGINT) AS year_code,
+    CAST(gdppc AS FLOAT) AS gdppc, CAST(pop AS FLOAT) AS pop FROM p)
+WHERE scenario = 'SSP3' AND gdp_model = 'IIASA GDP' AND year IN (1996, 1999, 2000)""",
+        ),
+    ),
+    "written_panels": (
+        written_panels,
+        sql(
+            "regions",
+            "raw_values",
+            p=_FULL,
+            q="""SELECT scenario, gdp_model, 'N' || hierid AS hierid, 'N' || split_part(hierid, '.', 1) AS iso3, year,
+    least(coalesce(gdppc / 100, 0), 9e6::DOUBLE) AS gdppc, pop, (CAST(split_part(hierid, '.', -1) AS BIGINT) % 97 + 1)::DOUBLE AS area_km2 FROM p""",
+            tail="""
+SELECT scenario, gdp_model, hierid, iso3, year, gdppc, gdppc AS gdppc_raw, gdppc AS gdppc_raw0, gdppc * pop AS gdp, pop, area_km2,
+  pop / area_km2 AS pop_density, 1.0::DOUBLE AS pop_wtd_density, pop * 0.25::DOUBLE AS pop0to4, pop * 0.5::DOUBLE AS pop5to64, pop * 0.25::DOUBLE AS pop65plus FROM q""",
+        ),
+    ),
+    "stage_file": (
+        stage_file,
+        sql(
+            "regions",
+            "raw_values",
+            p=_FULL,
+            tail="""
+SELECT scenario, year, count(*) AS n_rows, count(*) - count(gdppc) AS n_gaps, round(sum(pop), 2) AS pop
+FROM p WHERE gdp_model = 'OECD' GROUP BY 1, 2""",
+        ),
+    ),
+    "handoff_years": (
+        handoff_years,
+        """
+SELECT DISTINCT CAST(year(o_orderdate) * 40 - 77881 AS INTEGER) AS setting,
+  CAST(CASE WHEN year(o_orderdate) * 40 - 77881 BETWEEN 2020 AND 2099 THEN year(o_orderdate) * 40 - 77881 END AS INTEGER) AS handoff FROM orders""",
+    ),
     "cached_tables": (
         cached_tables,
         sql(

@@ -87,3 +87,18 @@ def pct_diff_or_inf(a, b) -> Column:
 def one_side_null(a, b) -> Column:
     """True where exactly one of the two values is missing."""
     return as_col(a).isNull() != as_col(b).isNull()
+
+
+def laid_out(entries: str, size: int, value: str) -> Column:
+    """An array of `size` from an array of structs sorted by their `place` (from
+    0): each value at its place, NULL elsewhere. A place given twice is an error."""
+    none = F.get(F.col(entries), F.lit(size))[value]  # NULL of the right type
+
+    def with_gap(x, i):
+        before = F.when(i == 0, -1).otherwise(F.get(F.col(entries), i - 1)["place"])
+        gap = x["place"] - before - 1
+        right = F.when(gap < 0, F.raise_error(F.lit("a cell is given twice")).cast("int")).otherwise(gap)
+        return F.concat(F.array_repeat(none, right), F.array(x[value]))
+
+    rest = F.lit(size - 1) - F.element_at(F.col(entries), -1)["place"]
+    return F.concat(F.flatten(F.transform(F.col(entries), with_gap)), F.array_repeat(none, rest))

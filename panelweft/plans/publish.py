@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelweft.operators.checks import Expected, cross_panel_checks, enforce
 from panelweft.operators.compare import source_summary
 from panelweft.plans.config import PanelConfig, PanelSources
 from panelweft.plans.dictionary import PANEL_DICTIONARY
 from panelweft.plans.panel import build_panel, check_panel, expected_records
-from panelweft.scale import materialise
+from panelweft.scale import Observed, is_complete, materialise
 from panelweft.sinks.writers import (
     provenance,
     require_version_folder,
@@ -21,7 +23,9 @@ from panelweft.sinks.writers import (
     with_dictionary,
     write_cube,
     write_panels,
+    write_whole,
 )
+from panelweft.sources.manifest import file_digests, require_inputs, verify_inputs
 
 MEASURES = [c for c in PANEL_DICTIONARY if c not in ("scenario", "gdp_model", "hierid", "iso3", "year")]
 
@@ -43,24 +47,61 @@ def run_entries(cfg: PanelConfig, versions: dict[str, str] | None = None) -> dic
     return items | cfg.extra
 
 
+def panel_metrics() -> Observed:
+    """Rows, and gaps and range of every measure, seen while the panel is staged."""
+    each = {"rows": F.count(F.lit(1))}
+    for c in MEASURES:
+        each |= {f"gaps/{c}": F.count_if(F.col(c).isNull()), f"least/{c}": F.min(c), f"most/{c}": F.max(c)}
+    return Observed(**each)
+
+
+def _write_version(root: str, panel: DataFrame, report: DataFrame, notes: Callable[[DataFrame], DataFrame]) -> None:
+    spark = panel.sparkSession
+    write_panels(panel, f"{root}/csv", report)
+    write_cube(with_dictionary(to_cube(panel, MEASURES), PANEL_DICTIONARY), f"{root}/cube")
+    files = file_digests(spark, root).select(F.concat(F.lit("written/"), "path").alias("path"), "bytes", "md5")
+    notes(files).write.parquet(f"{root}/provenance")
+
+
 def publish(
     src: PanelSources,
     cfg: PanelConfig,
     expected: Expected,
     path: str,
     versions: dict[str, str] | None = None,
+    inputs: tuple[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Build all panels, run every gate, then write csv, cube and provenance
-    below `path`. Nothing is written if a gate fails. Returns the panel."""
+    below `path`. Returns the panel.
+
+    `inputs` is the folder of the source files and its manifest: a file that is
+    missing or differs ends the run at once, and the others are listed in
+    provenance. So are row count, gaps and ranges, which are seen while the panel is
+    staged. Everything is written
+    beside the target and moved there in one step behind the last file; a run that
+    fails or is killed leaves no version, and a finished one has its mark.
+    """
+    spark = src.region_gdppc.sparkSession
     require_version_folder(path, cfg.version)
     root = path.rstrip("/")
-    panel = materialise(build_panel(src, cfg), "panel")
+    if is_complete(spark, root):
+        raise FileExistsError(f"{root} holds a finished version")
+    files = None
+    if inputs is not None:
+        files = materialise(file_digests(spark, inputs[0]), "input-files")
+        require_inputs(verify_inputs(files, inputs[1]))
+    source_report(src).show(truncate=False)
+    seen = panel_metrics()
+    panel = build_panel(src, cfg, seen)
+    metrics = seen.values
     report = check_panel(panel, src, cfg, expected)
     enforce(report, expected=expected_records(cfg))
     enforce(cross_panel_checks(panel, cfg.scenarios, cfg.gdp_models, cfg.handoff), "all panels")
-    write_panels(panel, f"{root}/csv", report)
-    cube = to_cube(panel, MEASURES)
-    write_cube(with_dictionary(cube, PANEL_DICTIONARY), f"{root}/cube")
-    notes = provenance(panel.sparkSession, run_entries(cfg, versions), panel)
-    notes.write.mode("errorifexists").parquet(f"{root}/provenance")
+    entries = run_entries(cfg, versions) | {f"seen/{k}": str(v) for k, v in metrics.items()}
+
+    def notes(written: DataFrame) -> DataFrame:
+        listed = written if files is None else written.unionByName(files.select("path", "bytes", "md5"))
+        return provenance(spark, entries, panel, listed)
+
+    write_whole(spark, root, lambda place: _write_version(place, panel, report, notes))
     return with_dictionary(panel, PANEL_DICTIONARY)

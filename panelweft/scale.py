@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 4 << 20  # of compressed files: some tens of MB in memory
@@ -69,12 +70,32 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Say that all below a path was written to its end."""
+    files, at = _hadoop(spark, f"{path}/_SUCCESS")
+    files.create(at, True).close()
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """The size of the files below a path."""
     files, at = _hadoop(spark, path)
     return files.getContentSummary(at).getLength()
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder of one store; it must not be there yet."""
+    files, at = _hadoop(spark, source)
+    _, to = _hadoop(spark, target)
+    files.mkdirs(to.getParent())
+    if files.exists(to) or not files.rename(at, to):
+        raise FileExistsError(f"{target} cannot be made from {source}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
+
+
 def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Names and sizes of the files below a path, hidden ones left out."""
     files, at = _hadoop(spark, path)
@@ -86,7 +107,23 @@ def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(found)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+class Observed:
+    """Aggregates that are worked out while a frame is written, at no further pass:
+    name -> aggregate column. `values` holds them after that."""
+
+    def __init__(self, **aggregates):
+        self.aggregates = aggregates
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *(a.alias(n) for n, a in self.aggregates.items()))
+
+    @property
+    def values(self) -> dict:
+        return self._seen.get
+
+
+def materialise(df: DataFrame, label: str, metrics: Observed | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Used where several consumers share a result: it is computed once, its
@@ -95,7 +132,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    (metrics.on(df) if metrics else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -160,10 +197,18 @@ def exact_median(df: DataFrame, value: str, into: str = "median") -> DataFrame:
     )
 
 
-def share_partitioning(spark: SparkSession) -> None:
-    """Let a join use a partitioning on some of its keys, so that frames laid
-    out by region are not shuffled again to be joined by region and year."""
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+@contextmanager
+def shared_partitioning(spark: SparkSession):
+    """Inside, a join may use a partitioning on some of its keys, so that frames
+    laid out by region are not shuffled again to be joined by region and year.
+    The session's own setting comes back after it; so run the plan inside."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from pathlib import PurePosixPath
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from panelweft.functions.columns import distinct_years
 from panelweft.operators.checks import enforce
 from panelweft.operators.hashtree import SUMS, content_sums
-from panelweft.scale import is_complete, materialise, running_total
+from panelweft.scale import is_complete, mark_complete, materialise, move, remove, running_total
 
 COMBO = ["scenario", "gdp_model"]
 MODEL_LABELS = {"IIASA": "IIASA GDP", "OECD": "OECD Env-Growth"}  # fixed values
@@ -49,6 +50,19 @@ def write_stage(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     _in_order(df, keys).write.mode("overwrite").csv(path, header=True, nullValue="NA")
 
 
+def write_whole(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let `write` fill a folder beside the path, then mark it and move it there:
+    a write that fails or is killed leaves nothing at the path."""
+    pending = f"{path}.pending-{uuid.uuid4().hex[:12]}"
+    try:
+        write(pending)
+        mark_complete(spark, pending)
+        move(spark, pending, path)
+    except BaseException:
+        remove(spark, pending)
+        raise
+
+
 def cached(
     spark: SparkSession, folder: str, names: Sequence[str], build: Callable[[], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
@@ -90,7 +104,8 @@ def to_cube(
     label = F.col(model)
     for old, new in relabel.items():
         label = F.when(F.col(model) == old, new).otherwise(label)
-    named = panel.withColumn(model, label)
+    # span, codes, counts and cells are all read from one staged copy
+    named = materialise(panel.select(*dims, *measures).withColumn(model, label), "cube-input")
     span = named.agg(F.min(year).alias("lo"), F.max(year).alias("hi")).collect()[0]
     n_years = span["hi"] - span["lo"] + 1
     regions = materialise(dense_codes(named, region, f"{region}_code"), "codes")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweft.functions.columns import laid_out
 from panelweft.operators.zonal import Grid
 
 SIZE = 128  # cells along a side: a tile's array has 16,384 of them
@@ -52,17 +53,7 @@ class TiledGrid:
                 F.sort_array(F.collect_list(F.struct("place", "value"))).alias("at"),  # one tile at most
             )
         )
-        none = F.lit(None).cast("double")
-
-        def with_gap(x, i):
-            before = F.when(i == 0, -1).otherwise(F.get("at", i - 1)["place"])
-            gap = x["place"] - before - 1
-            twice = F.raise_error(F.lit("a cell is given twice in a year")).cast("array<double>")
-            return F.when(gap < 0, twice).otherwise(F.concat(F.array_repeat(none, gap), F.array(x["value"])))
-
-        rest = F.lit(size * size) - F.element_at("at", -1)["place"] - 1
-        filled = F.concat(F.flatten(F.transform("at", with_gap)), F.array_repeat(none, rest))
-        return packed.select("tile", time, "n", "low", "high", filled.alias("cells"))
+        return packed.select("tile", time, "n", "low", "high", laid_out("at", size * size, "value").alias("cells"))
 
     def write(self, cells: DataFrame, time: str = "year") -> None:
         tiles = self.tiles(cells, time)

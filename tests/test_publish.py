@@ -125,3 +125,62 @@ def test_nothing_is_written_behind_a_failed_gate(spark, tmp_path):
 def test_source_report(spark):
     report = {r.source: r for r in source_report(make(spark)).collect()}
     assert report["estimates"][1:] == (302, 2, 1950, 2100) and report["region_pop"].n_members == 4
+
+
+def test_a_version_appears_as_a_whole(spark, tmp_path):
+    from panelweft.sources.manifest import InputsNotReady, file_digests
+
+    src, path = make(spark), str(tmp_path / "9.9")
+    small = dataclasses.replace(CFG, scenarios=("SSP2",), gdp_models=("OECD",), force_gdp_sum=False)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("x\n")
+    known = file_digests(spark, str(tmp_path / "in")).select("path", "md5", F.lit("auto").alias("fetch"))
+    with pytest.raises(InputsNotReady, match="b.csv: missing"):
+        publish(src, small, Expected(4, 1981, 2100), path, inputs=(str(tmp_path / "in"), known.union(known.select(F.lit("b.csv"), "md5", "fetch"))))
+    panel = publish(src, small, Expected(4, 1981, 2100), path, inputs=(str(tmp_path / "in"), known))
+    notes = {r["item"]: r["value"] for r in spark.read.parquet(f"{path}/provenance").collect()}
+    assert notes["seen/rows"] == str(4 * 120) and notes["seen/gaps/gdppc"] == "0"
+    assert float(notes["seen/most/pop"]) == panel.agg(F.max("pop")).first()[0]
+    assert notes["file/a.csv"].startswith("2 ") and any(k.startswith("file/written/csv/") for k in notes)
+    assert os.path.exists(f"{path}/_SUCCESS") and sorted(os.listdir(tmp_path)) == ["9.9", "in"]
+    with pytest.raises(FileExistsError):
+        publish(src, small, Expected(4, 1981, 2100), path)
+
+
+@pytest.mark.parametrize("step", ["first", "second", "mark_complete", "move"])
+def test_a_killed_write_leaves_nothing(spark, tmp_path, monkeypatch, step):
+    from panelweft.sinks import writers
+
+    def write(place):
+        spark.range(5).write.parquet(f"{place}/a")
+        if step == "first":
+            raise KeyboardInterrupt
+        spark.range(5).write.parquet(f"{place}/b")
+        if step == "second":
+            raise KeyboardInterrupt
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        if step in ("mark_complete", "move"):
+            m.setattr(writers, step, killed)
+        with pytest.raises(KeyboardInterrupt):
+            writers.write_whole(spark, f"{tmp_path}/v", write)
+    assert os.listdir(tmp_path) == []
+    step = "none"
+    writers.write_whole(spark, f"{tmp_path}/v", write)
+    with pytest.raises(FileExistsError):
+        writers.write_whole(spark, f"{tmp_path}/v", write)
+    assert os.listdir(tmp_path) == ["v"] and sorted(os.listdir(f"{tmp_path}/v")) == ["._SUCCESS.crc", "_SUCCESS", "a", "b"]
+
+
+def test_the_planner_setting_comes_back(spark):
+    from panelweft.scale import shared_partitioning
+
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    with pytest.raises(KeyError), shared_partitioning(spark):
+        assert spark.conf.get(name) == "false"
+        raise KeyError
+    assert spark.conf.get(name) == before

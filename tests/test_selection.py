@@ -113,7 +113,7 @@ def test_tiles_give_their_cells_again(spark, tmp_path):
 
 def test_tiles_refuse_bad_cells(spark):
     tiled = TiledGrid("unused", GRID, 4)
-    with pytest.raises(Exception, match="given twice"):
+    with pytest.raises(Exception, match="a cell is given twice"):
         tiled.tiles(spark.createDataFrame([(1, 1, 1, 1.0), (1, 1, 1, 2.0)], CELL)).collect()
     with pytest.raises(Exception, match="outside of the grid"):
         tiled.tiles(spark.createDataFrame([(1, 13, 1, 1.0)], CELL)).collect()
@@ -143,3 +143,31 @@ def test_a_file_larger_than_a_row(spark, tmp_path):
     for at in range(0, size, 1 << 26):
         digest.update(bytes(min(1 << 26, size - at)))
     assert (r["path"], r["bytes"], r["md5"]) == ("large", size, digest.hexdigest())
+
+
+def test_cubes_in_chunks(spark, tmp_path):
+    from panelweft.sinks.chunks import ChunkedCube
+
+    rnd = random.Random(5)
+    form = "s string, m string, r string, y int, s_code long, m_code long, r_code long, y_code long, v float, w float"
+    every = [(s, m, f"r{r:02}", 2000 + y) for s in ("A", "B") for m in ("x", "y") for r in range(11) for y in range(7)]
+    coded = [
+        (s, m, r, y, "AB".index(s), "xy".index(m), int(r[1:]), y - 2000, rnd.choice([None, float(rnd.randrange(99))]), 1.5)
+        for s, m, r, y in every if rnd.random() < 0.8
+    ]
+    df = spark.createDataFrame(coded, form)
+    cube = ChunkedCube(f"{tmp_path}/c", ("s", "r", "m", "y"), ("v", "w"), {"s": 1, "m": 1, "r": 4, "y": 3}, ("s", "m"))
+    cube.write(df)
+    chunks = spark.read.parquet(f"{tmp_path}/c/chunks").collect()
+    assert all(len(r["v"]) == len(r["present"]) == 12 for r in chunks)
+    assert rows(cube.read(spark).select(df.columns)) == rows(df)
+    part = cube.read(spark, s=["B"], y=[2001, 2004], r=["r03", "r10", "none"])
+    assert rows(part.select(df.columns)) == rows(df.where("s = 'B' and y in (2001, 2004) and r in ('r03', 'r10')"))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    scan = plan.split("PartitionFilters: [")[1]
+    assert "chunk_s" in scan.split("]")[0] and "chunk_r" in plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert cube.read(spark, s=["none"]).count() == 0
+    with pytest.raises(ValueError, match="no dimension"):
+        cube.read(spark, z=[1])
+    with pytest.raises(Exception, match="given twice"):
+        cube.chunks(df.unionByName(df)).collect()
