@@ -186,7 +186,7 @@ def zonal_stats(spark, d):
 
 def _zonal(spark, d):
     boxes = src.boxes(spark, d)
-    tables = zonal.zonal_tables(zonal.box_coverage(boxes, GRID), _cells(spark, d), boxes)
+    tables = zonal.zonal_tables(zonal.box_coverage(boxes, GRID), _cells(spark, d), boxes, range(1995, 2002))
     return tables.join(boxes.select("region", "country"), "region")
 
 

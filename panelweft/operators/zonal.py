@@ -12,6 +12,7 @@ subtract themselves.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -319,11 +320,11 @@ def zonal_stats(
 
 
 def with_all_regions(
-    stats: DataFrame, regions: DataFrame, cells: DataFrame, region: str = "region", time: str = "year"
+    stats: DataFrame, regions: DataFrame, years: Sequence[int], region: str = "region", time: str = "year"
 ) -> DataFrame:
-    """Every region in every year of the grid, measured or not."""
-    years = cells.agg(F.collect_set(time)).scalar()
-    spine = regions.select(region).distinct().withColumn(time, F.explode(years))
+    """Every region in every one of the years, measured or not."""
+    every = F.explode(F.array(*(F.lit(y) for y in years))).alias(time)
+    spine = regions.select(region).distinct().select(region, every)
     return spine.join(stats, [region, time], "left")
 
 
@@ -346,6 +347,7 @@ def zonal_tables(
     coverage: DataFrame,
     cells: DataFrame,
     regions: DataFrame,
+    years: Sequence[int],
     region: str = "region",
     time: str = "year",
 ) -> DataFrame:
@@ -361,7 +363,7 @@ def zonal_tables(
         pop=zonal_sum("people"),
         pop_wtd_density=weighted_mean("density", "people"),
     )
-    every = with_all_regions(stats, regions, cells, region, time)
+    every = with_all_regions(stats, regions, years, region, time)
     filled = fallback_with_flag(every, "by_people", "by_area", "gdppc", "zero_pop")
     return filled.na.fill(0.0, ["pop", "pop_wtd_density"]).select(
         region, time, "gdppc", "zero_pop", "pop", "pop_wtd_density"

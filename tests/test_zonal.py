@@ -28,7 +28,7 @@ def micro(spark):
 def test_micro_raster(spark):
     gdp, pop, boxes = micro(spark)
     cells = zonal.cell_table(gdp, pop, MICRO, 2020)
-    out = zonal.zonal_tables(zonal.box_coverage(boxes, MICRO), cells, boxes)
+    out = zonal.zonal_tables(zonal.box_coverage(boxes, MICRO), cells, boxes, [2020])
     got = {r.region: r for r in out.collect()}
     assert got["AAA.1"].gdppc == 250.0 and not got["AAA.1"].zero_pop and got["AAA.1"].pop == 8.0
     assert got["AAA.2"].gdppc == 200.0 and got["AAA.2"].zero_pop
