@@ -1,13 +1,15 @@
 """Line dedup over content-defined chunks of lines.
 
-A text is cut into chunks of two or more whole lines. A line may end a chunk if
-the rolling hash of it and the line before is divisible by `average`; of
-neighbouring lines that may, every other one does, and no cut leaves a single
-line at either end. So a boundary depends on the lines around it only:
-inserting or moving lines elsewhere shifts no other boundary. Chunks that occur
-again anywhere are removed, except their first occurrence (smallest id, then
-text hash, then place). Hashes only find candidates: a chunk goes only if its
-bytes equal those of an earlier one. A text of one line is no such chunk.
+A text is cut into chunks of whole lines. A line ends a chunk if the rolling hash of
+it and the line before is divisible by `average` and that of the two lines before it
+is not; neither leaves a single line at either end of the text. A line of `long`
+bytes or more is a chunk of its own. So a boundary depends on three lines before it
+and one behind it: what stands elsewhere shifts no boundary, and no state is carried
+along. Chunks of two lines or more and long lines that occur again anywhere are
+removed, except their first occurrence (smallest id, then text hash, then place).
+Hashes only find candidates: a chunk goes only if its bytes equal those of an earlier
+one. Short single lines stay, whatever stands around them; without `long` so do long
+ones.
 
 Null texts stay null, empty ones empty; neither has a chunk. Null ids come
 last in the order. Rows equal in id and text are one document: they lose the
@@ -28,7 +30,8 @@ from pyspark.sql import types as T
 
 from panelweft.scale import bounded, materialise
 
-AVERAGE = 3  # lines between boundaries, on average
+AVERAGE = 3  # one of so many lines may end a chunk
+LONG = 150  # bytes of a line that is a chunk of its own: about 25 words
 BASE, PRIME = 1_000_003, (1 << 31) - 1
 
 CHUNKS = T.ArrayType(
@@ -46,27 +49,28 @@ def line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.md5(line).digest()[:4], "big") % PRIME
 
 
-def chunks_of(text: bytes, average: int = AVERAGE) -> list[tuple[int, int, int, int]]:
+def chunks_of(text: bytes, average: int = AVERAGE, long: int | None = LONG) -> list[tuple[int, int, int, int]]:
     """(place, lines, start, size) of each chunk of a text. The chunks, joined
     by line feeds, are the text."""
-    found, begin, at, lines, before, cut = [], 0, 0, 0, 0, False
+    found, begin, at, lines, before, may = [], 0, 0, 0, 0, False
     parts = text.split(b"\n")
+    large = [long is not None and len(x) >= long for x in parts]
     for n, line in enumerate(parts, 1):
         here = line_hash(line)
         rolling, before = (before * BASE + here) % PRIME, here
         lines += 1
         at += len(line) + 1
-        cut = rolling % average == 0 and 2 <= n <= len(parts) - 2 and not cut
-        if cut:
+        might, may = may, rolling % average == 0 and 2 <= n <= len(parts) - 2
+        if n < len(parts) and (large[n - 1] or large[n] or may and not might):
             found.append((len(found), lines, begin, at - 1 - begin))
             begin, lines = at, 0
     found.append((len(found), lines, begin, len(text) - begin))
     return found
 
 
-def _candidates(average: int):
-    """Per document the chunks of two lines or more; the bytes of a text are
-    sliced from the Arrow buffer, one document at a time."""
+def _candidates(average: int, long: int | None):
+    """Per document the chunks of two lines or more and the long lines; the bytes
+    of a text are sliced from the Arrow buffer, one document at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([
@@ -79,8 +83,8 @@ def _candidates(average: int):
             for i in range(batch.num_rows):
                 if not texts[i].is_valid or not (body := texts[i].as_buffer().to_pybytes()):
                     continue
-                for place, lines, start, size in chunks_of(body, average):
-                    if lines > 1:
+                for place, lines, start, size in chunks_of(body, average, long):
+                    if lines > 1 or (long is not None and size >= long):
                         digest = hashlib.md5(body[start : start + size]).hexdigest()
                         rows.append((ids[i].as_py(), hashes[i].as_py(), place, start, size, digest))
             cols = list(zip(*rows)) if rows else [[]] * len(kind)
@@ -89,7 +93,7 @@ def _candidates(average: int):
     return run
 
 
-def _cut(average: int):
+def _cut(average: int, long: int | None):
     """Removes the named chunks from a text. Two neighbours that stay are
     joined by the line feed that stood between them or their lost ones."""
 
@@ -106,7 +110,7 @@ def _cut(average: int):
                     kept.append(body), n_lines.append(body.count(b"\n") + 1), n_lost.append(0)
                     continue
                 gone, stay, total, less = set(gone), [], 0, 0
-                for place, lines, start, size in chunks_of(body, average):
+                for place, lines, start, size in chunks_of(body, average, long):
                     total += lines
                     if place in gone:
                         less += lines
@@ -123,7 +127,9 @@ def _cut(average: int):
     return run
 
 
-def repeated_chunks(docs: DataFrame, average: int = AVERAGE, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def repeated_chunks(
+    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
     """(__id, __h, lost): for each document that has any, the places of the
     chunks that occurred before. Texts travel only for chunks whose hash
     occurs twice, and copies of those are reduced before they are shuffled."""
@@ -133,7 +139,7 @@ def repeated_chunks(docs: DataFrame, average: int = AVERAGE, text: str = "text",
     )
     chunks = materialise(
         base.mapInArrow(
-            _candidates(average),
+            _candidates(average, long),
             "__id long, __h long, place int, start int, size int, digest string",
         ),
         "chunks",
@@ -167,7 +173,9 @@ def repeated_chunks(docs: DataFrame, average: int = AVERAGE, text: str = "text",
     return later.groupBy("__id", "__h").agg(F.collect_set("place").alias("lost"))
 
 
-def remove_chunks(docs: DataFrame, lost: DataFrame, average: int = AVERAGE, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def remove_chunks(
+    docs: DataFrame, lost: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
     """All columns of `docs` as a struct `__row`, with `__kept` (the text
     without its repeated chunks), `__lines` and `__lost_lines`."""
     rows = docs.select(
@@ -181,13 +189,16 @@ def remove_chunks(docs: DataFrame, lost: DataFrame, average: int = AVERAGE, text
         marked.schema["__row"], T.StructField("__kept", T.StringType()),
         T.StructField("__lines", T.LongType()), T.StructField("__lost_lines", T.LongType()),
     ])
-    return marked.mapInArrow(_cut(average), kind)
+    return marked.mapInArrow(_cut(average, long), kind)
 
 
-def dedup_lines(docs: DataFrame, average: int = AVERAGE, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
     """The documents with their columns, texts without repeated chunks, and
     `n_chars` (where there is such a column) counted anew."""
-    cut = remove_chunks(docs, repeated_chunks(docs, average, text, id_col), average, text, id_col)
+    lost = repeated_chunks(docs, average, long, text, id_col)
+    cut = remove_chunks(docs, lost, average, long, text, id_col)
 
     def column(c: str) -> Column:
         if c == text:
@@ -199,9 +210,9 @@ def dedup_lines(docs: DataFrame, average: int = AVERAGE, text: str = "text", id_
     return cut.select(*[column(c) for c in docs.columns])
 
 
-def line_dedup(docs: DataFrame, average: int = AVERAGE) -> DataFrame:
+def line_dedup(docs: DataFrame, average: int = AVERAGE, long: int | None = LONG) -> DataFrame:
     """Digest for the query: each document's cleaned text and what it lost."""
-    cut = remove_chunks(docs, repeated_chunks(docs, average), average)
+    cut = remove_chunks(docs, repeated_chunks(docs, average, long), average, long)
     return cut.select(
         F.col("__row.doc_id").alias("doc_id"), F.col("__kept").alias("text"),
         F.col("__lines").alias("n_lines"), F.col("__lost_lines").alias("n_lost_lines"),

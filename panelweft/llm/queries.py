@@ -43,10 +43,12 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {prime} AS h FROM l),
 m AS (SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * {base} + h) % {prime} % {line_dedup.AVERAGE} = 0
   AND i >= 2 AND i <= count(*) OVER (PARTITION BY doc_id) - 2 AS may FROM h),
-r AS (SELECT *, may AND (i - max(CASE WHEN may THEN 0 ELSE i END) OVER (PARTITION BY doc_id ORDER BY i)) % 2 = 1 AS ends FROM m),
+r AS (SELECT *, strlen(line) >= {line_dedup.LONG} OR coalesce(strlen(lead(line) OVER w) >= {line_dedup.LONG}, false)
+    OR (may AND NOT coalesce(lag(may) OVER w, false)) AS ends FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r),
-k AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY 1, 2),
-f AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, c) > 1 AS lost FROM k),
+k AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
+  count(*) > 1 OR max(strlen(line)) >= {line_dedup.LONG} AS whole FROM c GROUP BY 1, 2),
+f AS (SELECT *, whole AND row_number() OVER (PARTITION BY body, whole ORDER BY doc_id, c) > 1 AS lost FROM k),
 o AS (SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY c) FILTER (NOT lost), '') AS text,
   coalesce(sum(n) FILTER (lost), 0)::BIGINT AS n_lost_lines, sum(n)::BIGINT AS n_lines FROM f GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text = '' THEN '' ELSE o.text END AS text,

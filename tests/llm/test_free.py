@@ -30,7 +30,7 @@ HARD = [
 # -- line dedup ----------------------------------------------------------------
 
 
-def plain_chunks(text):
+def plain_chunks(text, long=line_dedup.LONG):
     lines = text.split("\n")
     number = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % line_dedup.PRIME for x in lines]
     may = [
@@ -38,16 +38,14 @@ def plain_chunks(text):
         and (number[n - 1] * line_dedup.BASE + number[n]) % line_dedup.PRIME % line_dedup.AVERAGE == 0
         for n in range(len(lines))
     ]
+    large = [len(x.encode()) >= long for x in lines] + [False]
     out, now = [], []
     for n, line in enumerate(lines):
         now.append(line)
-        run = 0
-        while may[n - run] and n - run >= 0:
-            run += 1
-        if run % 2:
+        if large[n] or large[n + 1] or may[n] and not may[n - 1]:
             out.append(now)
             now = []
-    return [*out, now]
+    return [*out, now] if now else out
 
 
 def plain_dedup(rows):
@@ -57,9 +55,10 @@ def plain_dedup(rows):
         stay = []
         for chunk in plain_chunks(t):
             body = "\n".join(chunk)
-            if len(chunk) == 1 or body not in seen:
+            whole = len(chunk) > 1 or len(body.encode()) >= line_dedup.LONG
+            if not whole or body not in seen:
                 stay.append(body)
-            if len(chunk) > 1:
+            if whole:
                 seen.add(body)
         done[i, t] = "\n".join(stay)
     return Counter((i, done.get((i, t), t)) for i, t in rows)
@@ -74,6 +73,8 @@ def test_line_dedup_matches_plain_python(spark):
         for _ in range(random.randrange(3)):
             at = random.randrange(len(lines) + 1)
             lines[at:at] = random.choice(shared)
+        if i % 3 == 0:
+            lines.insert(random.randrange(len(lines) + 1), f"one long line é {i % 4} " + "of many words " * 12)
         rows.append((i, "\n".join(lines)))
     rows += [(500 + n, rows[7][1]) for n in range(40)] + [rows[3], rows[3]]
     got = line_dedup.dedup_lines(docs_of(spark, rows))
@@ -93,6 +94,34 @@ def test_boundaries_survive_a_shift():
     assert b"\n".join(whole[s : s + z] for _, _, s, z in line_dedup.chunks_of(whole)) == whole
 
 
+def test_boundaries_depend_on_near_lines_only():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+    line = lambda n: " ".join(word() for _ in range(n)).encode()
+    passage = [line(rng.choice([3, 8, 30])) for _ in range(14)]
+
+    def inside(before, after):
+        body = b"\n".join([*before, *passage, *after])
+        begin = sum(len(x) + 1 for x in before)
+        ends = [s + z - begin for _, _, s, z in line_dedup.chunks_of(body)]
+        edge = [0]
+        for x in passage:
+            edge.append(edge[-1] + len(x) + 1)
+        return [e for e in ends if edge[3] <= e < edge[-2]]
+
+    every = [inside([line(4) for _ in range(a)], [line(4) for _ in range(4)]) for a in (3, 4, 9, 30) for _ in range(5)]
+    assert every[0] and all(e == every[0] for e in every)
+
+
+def test_long_lines_go_and_stay_by_choice(spark):
+    repeated = "a sentence of many words that stands in both texts " * 4
+    rows = [(1, f"own one\n{repeated}\nown two"), (2, f"{repeated}\nother"), (3, f"short\n{repeated}x")]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    assert found == {1: rows[0][1], 2: "other", 3: rows[2][1]}
+    kept = line_dedup.dedup_lines(docs_of(spark, rows), long=None).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(rows)
+
+
 def test_line_dedup_of_hard_rows(spark):
     found = line_dedup.line_dedup(docs_of(spark, HARD)).collect()
     assert Counter((r["doc_id"], r["text"]) for r in found) == plain_dedup(HARD)
@@ -440,3 +469,37 @@ def test_pipeline_on_a_small_world(spark, tmp_path):
     assert all(r["token_ids"] == lib.encode(r["text"]) for r in docs.collect())
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert Counter(r["doc_id"] for r in final.collect()) == seen["pieces"] == seen["mixing"]
+
+
+def test_pipeline_stages_on_hard_tables(spark, tmp_path):
+    """Empty tables, nulls, repeated rows, and columns with names used inside."""
+    words_ = lambda n, k: " ".join(f"{w}{k}x{j}" for j in range(n) for w in ("alpha", "beta", "gamma", "delta"))
+    text = lambda k: "\n".join(words_(5, f"{k}{n}") for n in range(6))
+    form = (
+        "doc_id long, text string, lang string, source string, n_chars long, `__key` string, `__id` long, `__row` string,"
+        " domain string, token_ids string, round_trip int, `__rest` int, `__epoch` int, `a.b` string"
+    )
+    rows = [(i, text(i), "en", "src1", 9) for i in range(12)] + [(3, text(3), "en", "src1", 9)] * 2
+    rows += [(50, None, None, None, None), (None, text("x"), None, "src2", 1), (51, "", "en", "src1", 0), (None, None, None, None, None)]
+    own = ("k", 7, "r", "mine", "t", 5, 6, 4, "dot")
+    table = spark.createDataFrame([(*r, *own) for r in rows], form)
+    for docs in (table, table.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            kept = [c for c in docs.columns if name != "pieces" or c not in ("token_ids", "round_trip")]
+            assert out.columns[: len(kept)] == kept and (name == "pieces") == (out.columns[len(kept) :] == ["token_ids", "round_trip"])
+            found = out.collect()
+            places = [table.columns.index(c) for c in kept[5:]]
+            assert all(tuple(r)[5 : len(kept)] == tuple((*rows[0], *own)[p] for p in places) for r in found)
+            assert bool(found) == (docs is table)
+            if name == "near dedup" and found:
+                assert Counter((r["doc_id"], r["text"]) for r in found)[3, text(3)] == 1
+
+
+def test_the_sample_is_found_by_counting(spark):
+    rng = random.Random(5)
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(3000)] + [17] * 5
+    table = spark.createDataFrame([(h, "x") for h in hashes], "o long, x string")
+    for n in (1, 10, 700, 3004, 9000):
+        got = sorted(r["o"] for r in quality_model.first_by(table, "o", n).collect())
+        assert got[:n] == sorted(hashes)[:n] and len(got) <= n + 5
