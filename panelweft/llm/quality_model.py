@@ -51,29 +51,54 @@ class Model:
     offset: float
 
 
-def _spread(text: bytes) -> list[bytes]:
-    """Up to SAMPLE_BLOCKS blocks, spread evenly over a text."""
+def _spread(text: bytes, most: int) -> list[bytes]:
+    """So many blocks at most, spread evenly over a text."""
     starts = range(0, max(1, len(text)), SAMPLE_BLOCK)
-    step = max(1, -(-len(starts) // SAMPLE_BLOCKS))
+    step = max(1, -(-len(starts) // most))
     return [text[s : s + SAMPLE_BLOCK] for s in starts[::step]]
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blocks = [_spread(t.as_py().encode()) for t in batch.column("__text")]
-        yield pa.record_batch(
-            [batch.column("__order"), pa.array(blocks, pa.list_(pa.binary()))], names=["__order", "blocks"]
-        )
+def _sample(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = [_spread(t.as_py().encode(), most) for t in batch.column("__text")]
+            yield pa.record_batch(
+                [batch.column("__order"), pa.array(blocks, pa.list_(pa.binary()))], names=["__order", "blocks"]
+            )
+
+    return run
 
 
-def train_dictionary(labelled: DataFrame, quality: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
+def first_by(rows: DataFrame, order: str, n: int) -> DataFrame:
+    """The rows with the n least values of a 64-bit hash, and those with the same
+    first 32 bits as the last of them. Two rounds count the hashes by 16 more
+    bits, so that nothing but 65,536 counts comes to the driver at a time."""
+    parent, left = None, n
+    for shift in (48, 32):
+        some = rows if parent is None else rows.where(F.shiftright(order, 48) == parent)
+        counts = some.groupBy(F.shiftright(order, shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
+        if parent is None and sum(r["n"] for r in counts) <= n:
+            return rows
+        for r in counts:
+            parent, left = r["b"], left - r["n"]
+            if left <= 0:
+                left += r["n"]  # still wanted from this bucket
+                break
+    return rows.where(F.shiftright(order, 32) <= parent)
+
+
+def train_dictionary(
+    labelled: DataFrame, quality: int, sample_docs: int = SAMPLE_DOCS, sample_blocks: int = SAMPLE_BLOCKS
+) -> bytes:
     """A dictionary from a bounded sample: the first documents in hash order."""
     import zstandard
 
+    wanted = labelled.where((F.col("quality") == quality) & F.col("__fold").isin(1, 2) & (F.col("__text") != "")).select(
+        F.xxhash64("__id", "__text").alias("__order"), "__text"
+    )
     rows = (
-        labelled.where((F.col("quality") == quality) & F.col("__fold").isin(1, 2) & (F.col("__text") != ""))
-        .select(F.xxhash64("__id", "__text").alias("__order"), "__text")
-        .mapInArrow(_sample, "__order long, blocks array<binary>")
+        first_by(wanted, "__order", sample_docs)
+        .mapInArrow(_sample(sample_blocks), "__order long, blocks array<binary>")
         .orderBy("__order")
         .limit(sample_docs)
         .collect()
@@ -142,7 +167,10 @@ def calibrate(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return (float(beta[0] / spread) if spread else 0.0), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id") -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id",
+    sample_docs: int = SAMPLE_DOCS, sample_blocks: int = SAMPLE_BLOCKS,
+) -> Model:
     """Both dictionaries and the calibration, from labelled training rows.
 
     The calibration gathers counts by difference rounded to 1e-4: some 10,000
@@ -154,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     )
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     labelled = texts.join(known, "__id").withColumn("__fold", fold(F.col("__id")))
-    good, bad = (train_dictionary(labelled, q) for q in (1, 0))
+    good, bad = (train_dictionary(labelled, q, sample_docs, sample_blocks) for q in (1, 0))
     counts = (
         differences(labelled.where(F.col("__fold").isin(3, 4)).select("quality", "__text"), good, bad)
         .groupBy(F.round("__x", 4).alias("x"), "quality")
@@ -175,9 +203,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     )
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_scores(
+    docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_blocks: int = SAMPLE_BLOCKS
+) -> DataFrame:
     """The contract's digest."""
-    return score(docs, fit(docs, labels)).select(
+    model = fit(docs, labels, sample_docs=sample_docs, sample_blocks=sample_blocks)
+    return score(docs, model).select(
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
