@@ -153,22 +153,29 @@ def order_key(seed: int, epoch: Column, doc: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), doc).cast("binary"))
 
 
+OWN = ("__epoch", "__n_tokens", "__take_tokens")
+
+
 def take(docs: DataFrame, plan: DataFrame, levels: list[str], seed: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The documents of a mix: their own columns and `__epoch`, `__n_tokens`,
-    `__take_tokens`, a row for each epoch. Each document is measured against
+    `__take_tokens` (which replace columns of these names), a row for each epoch.
+    Each document is measured against
     its leaf's plan where it lies; texts are not shuffled when the plan fits."""
     mine = plan.select(
         *[F.col(c).alias(f"__leaf_{c}") for c in levels],
         F.col("epochs").alias("__epochs"), F.col("rest").alias("__rest"), "__last", "__taken",
     )
     mine = bounded(mine)
-    same = [F.coalesce(docs[c].cast("string"), F.lit(NO_NAME)) == mine[f"__leaf_{c}"] for c in levels]
     doc = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    key = F.struct(
-        order_key(seed, F.col("__epochs"), doc).alias("__order"), doc.alias("__id"),
-        F.xxhash64(text).alias("__h"),
+    # the columns travel as one struct, so that none can clash with a name used here
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), doc.alias("__id"),
+        F.xxhash64(text).alias("__h"), token_count(text).alias("__n_tokens"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit(NO_NAME)).alias(f"__of_{c}") for c in levels],
     )
-    here = docs.join(mine, same).withColumn("__n_tokens", token_count(text)).withColumn("__key", key)
+    same = [packed[f"__of_{c}"] == mine[f"__leaf_{c}"] for c in levels]
+    key = F.struct(order_key(seed, F.col("__epochs"), F.col("__id")).alias("__order"), F.col("__id"), F.col("__h"))
+    here = packed.join(mine, same).withColumn("__key", key)
     in_rest = (F.col("__rest") > 0) & (F.col("__key") <= F.col("__last"))
     last_cut = F.greatest(F.lit(0), F.col("__n_tokens") - (F.col("__taken") - F.col("__rest")))
     cut = F.when(F.col("__key") == F.col("__last"), last_cut).otherwise(F.col("__n_tokens"))
@@ -184,7 +191,7 @@ def take(docs: DataFrame, plan: DataFrame, levels: list[str], seed: int, text: s
     return (
         here.withColumn("__one", F.explode(F.concat(whole, part)))
         .select(
-            *[docs[c] for c in docs.columns],
+            *[F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c not in OWN],
             F.col("__one.e").alias("__epoch"), "__n_tokens", F.col("__one.t").alias("__take_tokens"),
         )
     )

@@ -400,20 +400,23 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text"
     rows equal in id and text one is kept."""
     found, _ = near_duplicates(docs, similarity, text, id_col)
     found = materialise(found.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "first"), "classes")
-    keyed = docs.withColumns({
-        "__id": F.col(id_col), "__key": F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    })
+    # the columns travel as one struct, so that none can clash with a name used here
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).alias("__id"),
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("__key"),
+    )
     mine = lambda t: (keyed["__id"].eqNullSafe(t["__id"])) & (keyed["__key"] == t["__key"])
     lost = bounded(found.where(~F.col("first")).select("__id", "__key").distinct())
     kept = keyed.join(lost, mine(lost), "left_anti")
+    unpacked = lambda df: df.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
     again = found.where("first").groupBy("__id", "__key").count().where("count > 1").select("__id", "__key")
     if again.isEmpty():
-        return kept.select(*docs.columns)
+        return unpacked(kept)
     twice = bounded(again)
     same = (kept["__id"].eqNullSafe(twice["__id"])) & (kept["__key"] == twice["__key"])
     once = kept.join(twice, same, "left_anti")
     one = kept.join(twice, same, "left_semi").dropDuplicates(["__id", "__key"])
-    return once.unionByName(one).select(*docs.columns)
+    return unpacked(once.unionByName(one))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = 0x2581
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -404,7 +405,9 @@ def encode(docs: DataFrame, model_path: str, check: bool = True, text: str = "te
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__text")
     )
-    kind = f"__row {rows.schema['__row'].dataType.simpleString()}, __ids array<int>, __round_trip boolean"
+    kind = T.StructType([
+        rows.schema["__row"], T.StructField("__ids", T.ArrayType(T.IntegerType())), T.StructField("__round_trip", T.BooleanType())
+    ])
     return rows.mapInArrow(_run(shared, check), kind)
 
 
@@ -430,7 +433,7 @@ def decode(coded: DataFrame, model_path: str, ids: str = "token_ids", into: str
     rows = coded.select(
         F.struct(*[F.col(f"`{c}`") for c in coded.columns]).alias("__row"), F.col(ids).alias("__ids")
     )
-    back = rows.mapInArrow(run, f"__row {rows.schema['__row'].dataType.simpleString()}, __text string")
+    back = rows.mapInArrow(run, T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType())]))
     kept = [c for c in coded.columns if c != into]
     return back.select(*[F.col(f"__row.`{c}`").alias(c) for c in kept], F.col("__text").alias(into))
 
