@@ -48,6 +48,7 @@ SIGNATURE = 16  # longs of 64 bits
 CELLS = 1 << 19  # numbers of a sketch that a worker handles at once
 PART = 512  # texts that a worker unpacks at once
 TABLE = 1 << 21  # cells of a band that a worker lays out as a table
+BITS = 4096  # words of a text whose places are kept as bits
 
 
 def runs(words: np.ndarray) -> np.ndarray:
@@ -145,9 +146,11 @@ def _word_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Word edits from a to b, or most + 1 if there are more.
 
-    The band of diagonals is widened fourfold until the alignment fits. On each
-    diagonal the next difference is looked up in a table of the band, so a
-    round of one more edit is a few vector operations; bands too large for a
+    What both begin and end with is left out. The band of the diagonals that the
+    edits allow is held as bits of long numbers, so a word of b is a few operations
+    on those. For longer texts the band is widened fourfold until the alignment
+    fits: on each diagonal the next difference is looked up in a table of the band,
+    so a round of one more edit is a few vector operations; bands too large for a
     table are aligned row by row.
     """
     if abs(len(a) - len(b)) > most:
@@ -159,6 +162,14 @@ def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     _, i, j = np.intersect1d(values, other, assume_unique=True, return_indices=True)
     if len(b) - int(np.minimum(counts[i], theirs[j]).sum()) > most:
         return most + 1
+    for _ in range(2):  # from the front, then from the back
+        same = a == b[: len(a)]
+        n = len(a) if same.all() else int(np.argmin(same))
+        a, b = a[n:][::-1], b[n:][::-1]
+    if not len(a) or not most:
+        return min(len(b), most + 1)
+    if len(b) <= BITS:
+        return _edits_by_bits(a.tolist(), b.tolist(), min(most, len(b)))
     band = max(8, len(b) - len(a))
     while True:
         band = min(band, most)
@@ -170,6 +181,36 @@ def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
         band *= 4
 
 
+def _edits_by_bits(short: list[int], long: list[int], most: int) -> int:
+    """The band column by column: bit k of a column stands for the place of `long`
+    that lies k above the lowest one of the band there. `up` and `down` hold where
+    the count of edits grows or falls from one place to the next."""
+    width = 2 * most + 2
+    every, top = (1 << width) - 1, 1 << (width - 1)
+    places: dict[int, int] = {}
+    for n, word in enumerate(long):
+        places[word] = places.get(word, 0) | 1 << n
+    up, down = ((1 << (most + 1)) - 1) << (width - most - 1), 0
+    found, enough, low = most, 2 * most + len(short) - len(long), most + 1 - width
+    mark = top >> 1
+    for n, word in enumerate(short):
+        at = places.get(word, 0)
+        at = (at >> low if low >= 0 else at << -low) & every
+        straight = ((((at & up) + up) ^ up) | at | down) & every
+        right, left = down | (every & ~(straight | up)), straight & up
+        if n < len(long) - most:  # along the band's last diagonal
+            found += not straight & top
+        else:  # along the last place of `long`
+            found += bool(right & mark) - bool(left & mark)
+            mark >>= 1
+        if found > enough:
+            return most + 1
+        straight >>= 1
+        up, down = left | (every & ~(straight | right)), straight & right
+        low += 1
+    return min(found, most + 1)
+
+
 def _edits_by_diagonals(a: np.ndarray, b: np.ndarray, band: int) -> int:
     n, m = len(a), len(b)
     # outside of b stands a number that no word has
@@ -309,24 +350,24 @@ def near_duplicates(
     (a, b, similarity) between the nodes, the distinct texts."""
     base = texts_of(docs, text, id_col)
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = materialise(
-        base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, slots array<long>, bits array<long>"), "sketches"
-    )
+    made = base.mapInArrow(_sketches, f"doc_id {id_type}, key string, n_words int, slots array<long>, bits array<long>")
+    rows = materialise(made.withColumn("__row", F.monotonically_increasing_id()), "sketches")
     distinct = rows.groupBy("key").agg(
         F.min("doc_id").alias("least_id"), F.first("n_words").alias("n_words"),
-        F.first("bits").alias("bits"),
+        F.first("bits").alias("bits"), F.min("__row").alias("__row"),
     )
     # distinct texts are numbered by least id, so the least number names a class
     order = distinct.withColumns({"__null": F.col("least_id").isNull(), "__one": F.lit(1)})
     nodes = materialise(
         running_total(order, ["__null", "least_id", "key"], "__one", "node")
-        .select("key", "least_id", "n_words", "bits", F.col("node").cast("long")),
+        .select("key", "least_id", "n_words", "bits", "__row", F.col("node").cast("long")),
         "nodes",
     )
-    in_slots = rows.join(nodes.select("key", "node"), "key").select("node", F.posexplode("slots").alias("slot", "value")).distinct()
-    in_slots = materialise(in_slots, "slots")
-    shared = in_slots.groupBy("slot", "value").agg(F.min("node").alias("p"), F.max("node").alias("q"))
-    buckets = materialise(in_slots.join(shared.where("p < q").select("slot", "value"), ["slot", "value"]), "buckets")
+    # one row of each text; texts with an equal value share k-mers, in whatever slot
+    once = materialise(rows.join(nodes.select("key", "__row", "node"), ["key", "__row"]).select("node", "slots"), "texts")
+    held = once.select("node", F.explode(F.array_distinct("slots")).alias("value"))
+    shared = held.groupBy("value").agg(F.min("node").alias("p"), F.max("node").alias("q")).where("p < q").select("value")
+    buckets = materialise(held.join(shared, "value", "left_semi"), "buckets")
 
     def possible(pairs: DataFrame) -> DataFrame:
         """The pairs that lengths and signatures do not rule out."""
@@ -341,15 +382,15 @@ def near_duplicates(
     links, tested = None, None
     for turn in range(1 + ROUNDS):
         member = buckets.join(parts, "node")
-        lead = member.groupBy("slot", "value").agg(
+        lead = member.groupBy("value").agg(
             F.min(F.struct("part", F.xxhash64("node", F.lit(turn)).alias("order"), "node")).alias("lead"),
             F.max("part").alias("last"),
         )
         lead = lead.where(F.col("lead.part") < F.col("last")).select(
-            "slot", "value", F.col("lead.part").alias("lead_part"), F.col("lead.node").alias("lead")
+            "value", F.col("lead.part").alias("lead_part"), F.col("lead.node").alias("lead")
         )
         pairs = (
-            member.join(lead, ["slot", "value"]).where("part <> lead_part")
+            member.join(lead, "value").where("part <> lead_part")
             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         )
         if tested is not None:
@@ -364,23 +405,23 @@ def near_duplicates(
 
     # what is left: buckets that still hold more than one component
     member = buckets.join(parts, "node")
-    mixed = member.groupBy("slot", "value").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    mixed = member.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q"))
     band = F.floor(F.log(F.col("n_words")) / F.lit(-float(np.log(similarity)))).cast("int")
     left = materialise(
-        member.join(mixed.where("p < q").select("slot", "value"), ["slot", "value"])
+        member.join(mixed.where("p < q").select("value"), "value")
         .join(nodes.select("node", "n_words", "bits"), "node")
         .select(
-            "slot", "value", band.alias("band"), F.col("node").alias("a"), F.col("part").alias("a_part"),
+            "value", band.alias("band"), F.col("node").alias("a"), F.col("part").alias("a_part"),
             F.col("n_words").alias("a_size"), F.col("bits").alias("a_bits"),
         ),
         "open-buckets",
     )
     # texts whose lengths differ by a fifth at most lie in neighbouring bands
     near = left.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    other = near.select("slot", "value", "band", *(F.col(f"a{c}").alias(f"b{c}") for c in ("", "_part", "_size", "_bits")))
+    other = near.select("value", "band", *(F.col(f"a{c}").alias(f"b{c}") for c in ("", "_part", "_size", "_bits")))
     apart = (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & _may_link(similarity)
     rest = (
-        left.join(other, (left["slot"] == other["slot"]) & (left["value"] == other["value"]) & (left["band"] == other["band"]) & apart)
+        left.join(other, (left["value"] == other["value"]) & (left["band"] == other["band"]) & apart)
         .select("a", "b").distinct()
     )
     rest = materialise(rest.join(tested, ["a", "b"], "left_anti"), "rest-pairs")

@@ -306,6 +306,7 @@ def test_banded_alignment_is_exact():
         assert near_dedup.edits(x, y, most) == want
         if len(a) <= len(b) <= len(a) + most:
             assert near_dedup._edits_by_rows(x, y, most) == want
+            assert most == 0 or min(near_dedup._edits_by_diagonals(x, y, most), most + 1) == want
 
 
 def test_word_hashes_follow_the_word_rule():
