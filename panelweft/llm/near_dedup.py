@@ -48,7 +48,7 @@ SIGNATURE = 16  # longs of 64 bits
 CELLS = 1 << 19  # numbers of a sketch that a worker handles at once
 PART = 512  # texts that a worker unpacks at once
 TABLE = 1 << 21  # cells of a band that a worker lays out as a table
-BITS = 4096  # words of a text whose places are kept as bits
+BITS = 1 << 15  # words of a text whose places are kept as bits
 
 
 def runs(words: np.ndarray) -> np.ndarray:
@@ -187,14 +187,15 @@ def _edits_by_bits(short: list[int], long: list[int], most: int) -> int:
     the count of edits grows or falls from one place to the next."""
     width = 2 * most + 2
     every, top = (1 << width) - 1, 1 << (width - 1)
-    places: dict[int, int] = {}
+    places = dict.fromkeys(short, 0)
     for n, word in enumerate(long):
-        places[word] = places.get(word, 0) | 1 << n
+        if word in places:
+            places[word] |= 1 << n
     up, down = ((1 << (most + 1)) - 1) << (width - most - 1), 0
     found, enough, low = most, 2 * most + len(short) - len(long), most + 1 - width
     mark = top >> 1
     for n, word in enumerate(short):
-        at = places.get(word, 0)
+        at = places[word]
         at = (at >> low if low >= 0 else at << -low) & every
         straight = ((((at & up) + up) ^ up) | at | down) & every
         right, left = down | (every & ~(straight | up)), straight & up
