@@ -128,11 +128,13 @@ def _cut(average: int, long: int | None):
 
 
 def repeated_chunks(
-    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id"
+    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id", lookup=bounded
 ) -> DataFrame:
     """(__id, __h, lost): for each document that has any, the places of the
     chunks that occurred before. Texts travel only for chunks whose hash
-    occurs twice, and copies of those are reduced before they are shuffled."""
+    occurs twice, and copies of those are reduced before they are shuffled.
+    `lookup` is what a table with a row per affected document goes through before
+    texts are joined with it: measured and broadcast if small, or left as it is."""
     base = docs.select(
         F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("__id"),
         F.xxhash64(text).alias("__h"), F.col(text).alias("__text"),
@@ -156,7 +158,7 @@ def repeated_chunks(
         .select("digest", "size")
     )
     wanted = chunks.join(again, ["digest", "size"]).select("__id", "__h", "place", "start", "size", "digest")
-    per_doc = bounded(
+    per_doc = lookup(
         wanted.groupBy("__id", "__h").agg(F.collect_set(F.struct("place", "start", "size", "digest")).alias("__want"))
     )
     # the bytes of the candidates, sliced from the texts
@@ -174,7 +176,8 @@ def repeated_chunks(
 
 
 def remove_chunks(
-    docs: DataFrame, lost: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id"
+    docs: DataFrame, lost: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id",
+    lookup=bounded,
 ) -> DataFrame:
     """All columns of `docs` as a struct `__row`, with `__kept` (the text
     without its repeated chunks), `__lines` and `__lost_lines`."""
@@ -184,7 +187,7 @@ def remove_chunks(
         F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("__id"),
         F.xxhash64(text).alias("__h"),
     )
-    marked = rows.join(bounded(lost), ["__id", "__h"], "left").select("__row", "__text", F.col("lost").alias("__lost"))
+    marked = rows.join(lookup(lost), ["__id", "__h"], "left").select("__row", "__text", F.col("lost").alias("__lost"))
     kind = T.StructType([
         marked.schema["__row"], T.StructField("__kept", T.StringType()),
         T.StructField("__lines", T.LongType()), T.StructField("__lost_lines", T.LongType()),
@@ -211,8 +214,12 @@ def dedup_lines(
 
 
 def line_dedup(docs: DataFrame, average: int = AVERAGE, long: int | None = LONG) -> DataFrame:
-    """Digest for the query: each document's cleaned text and what it lost."""
-    cut = remove_chunks(docs, repeated_chunks(docs, average, long), average, long)
+    """Digest for the query: each document's cleaned text and what it lost. So many
+    documents hold a repeated line that the tables of them are no lookups: texts
+    are joined with them in the same way at every size."""
+    plain = lambda df: materialise(df, "affected")
+    lost = repeated_chunks(docs, average, long, lookup=plain)
+    cut = remove_chunks(docs, lost, average, long, lookup=plain)
     return cut.select(
         F.col("__row.doc_id").alias("doc_id"), F.col("__kept").alias("text"),
         F.col("__lines").alias("n_lines"), F.col("__lost_lines").alias("n_lost_lines"),
