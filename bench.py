@@ -34,6 +34,8 @@ HEADLINE = [
     "regime_smooth",
     "coverage_rings",
     "zonal_fallback",
+    "zonal_stage",
+    "quantiles",
     "gated_snapshot",
     "verify_inputs",
     "pct_diff_stats",
