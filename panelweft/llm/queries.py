@@ -235,23 +235,61 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir))
 
 
-def _op9_sql() -> str:
+def rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy does to labelled and other documents."""
+    return rules.labelled_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def _ledger_sql() -> str:
     conditions = " + ".join(f"CASE WHEN {cond} THEN {1 << k} ELSE 0 END" for k, (_, cond) in enumerate(rules.RULES))
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    bullets = ", ".join(f"'{x}'" for x in rules.BULLETS)
     return f"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS_SQL} AS words FROM documents),
 m AS (SELECT doc_id, words, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
+  length(regexp_replace(t, '[^a-z]', '', 'g'))::BIGINT AS n_small,
+  length(regexp_replace(t, '[^0-9]', '', 'g'))::BIGINT AS n_digits,
   list_filter(string_split(t, chr(10)), lambda x: trim(x, {blank}) <> '') AS lines FROM w),
 x AS (SELECT doc_id, unnest(range(len(words) - 2)) AS i, words FROM m WHERE len(words) >= 3),
 y AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i + 1], words[i + 2], words[i + 3]) AS c FROM x),
 z AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM y, range(3) r(k) WHERE c > 1 GROUP BY 1),
-a AS (SELECT doc_id, n_words, word_chars, n_symbols, len(lines)::BIGINT AS n_lines,
+a AS (SELECT doc_id, n_words, word_chars, n_symbols, n_capitals, n_small, n_digits, len(lines)::BIGINT AS n_lines,
+  len(list_filter(lines, lambda x: ends_with(trim(x, {blank}), '...') OR ends_with(trim(x, {blank}), '…')))::BIGINT AS n_ellipsis_lines,
+  len(list_filter(lines, lambda x: left(trim(x, {blank}), 1) IN ({bullets})))::BIGINT AS n_bullet_lines,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
   FROM m LEFT JOIN z USING (doc_id)),
-b AS (SELECT *, ({conditions})::INTEGER AS fail_bits FROM a)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines, fail_bits, 'v2' AS policy FROM b
+b AS (SELECT *, ({conditions})::INTEGER AS fail_bits FROM a)"""
+
+
+def _enforced() -> list[tuple[str, int, str, int]]:
+    order = [name for name, _ in rules.RULES]
+    return [(p, rules.mask_of(p), r, 1 << order.index(r)) for p, names in rules.POLICIES.items() for r in names]
+
+
+def _op9_sql(policy: str = "v3") -> str:
+    base, mask = rules.mask_of("base"), rules.mask_of(policy)
+    versions = ", ".join(f"fail_bits & {rules.mask_of(p)} = 0 AS passes_{p}" for p in rules.POLICIES if p != "base")
+    alone = " ".join(f"WHEN {bit} THEN '{r}'" for p, _, r, bit in _enforced() if p == policy)
+    return f"""{_ledger_sql()}
+SELECT doc_id, {', '.join(rules.MEASURES)}, fail_bits & {base} <> 0 AS base_failed,
+  fail_bits & {base | mask} = 0 AS kept, fail_bits, '{policy}' AS policy, {versions},
+  CASE fail_bits & {mask} {alone} END AS sole_rule FROM b
+"""
+
+
+def _rules_report_sql() -> str:
+    enforced = ", ".join(f"('{p}', {mask}, '{r}', {bit})" for p, mask, r, bit in _enforced())
+    return f"""{_ledger_sql()},
+l AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1),
+e AS (SELECT quality, fail_bits, count(*) AS n FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+p(policy, mask, rule, bit) AS (VALUES {enforced})
+SELECT quality, policy, rule, sum(n)::BIGINT AS n_docs,
+  coalesce(sum(n) FILTER (fail_bits & bit <> 0), 0)::BIGINT AS n_failed,
+  coalesce(sum(n) FILTER (fail_bits & mask = bit), 0)::BIGINT AS n_failed_alone,
+  coalesce(sum(n) FILTER (fail_bits & mask = 0), 0)::BIGINT AS n_kept
+FROM e, p GROUP BY 1, 2, 3
 """
 
 # -- 10: near duplicates -----------------------------------------------------
@@ -298,6 +336,7 @@ QUERIES = {
     "op7_fingerprints": (op7_fingerprints, None),
     "op8_pieces": (op8_pieces, None),
     "op9_rules": (op9_rules, _op9_sql()),
+    "rules_report": (rules_report, _rules_report_sql()),
     "op10_near_dedup": (op10_near_dedup, None),
     "op11_chat": (op11_chat, None),
     "op12_variants": (op12_variants, None),

@@ -72,6 +72,47 @@ def test_ablation_counts_sole_failures(spark):
     assert got == {"few_words": (3, 2, 2), "repeated_words": (0, 0, 2), "symbols": (2, 1, 2)}
 
 
+def test_versions_and_sole_rules(spark):
+    menu = " ".join(f"home{n} | page{n}" for n in range(40))
+    rows = [
+        (1, PROSE, "en", "a"), (2, "a short note", "en", "a"), (3, None, "en", "a"), (4, menu, "en", "a"),
+        (5, PROSE.upper(), "en", "a"), (6, "\n".join(f"- point{n} about{n}" for n in range(30)), "en", "a"),
+        (7, "\n".join(f"read{n} more{n}…" for n in range(30)), "en", "a"),
+        (8, " ".join(str(n) * 7 for n in range(90)), "en", "a"), (9, PROSE + "\n- one point\nmore ...\nand the end", "en", "a"),
+    ]
+    got = {r["doc_id"]: r for r in rules.quality_rules(docs_of(spark, rows)).collect()}
+    assert {i: r["sole_rule"] for i, r in got.items()} == {
+        1: None, 2: None, 3: "no_words", 4: "many_symbols", 5: "shouting", 6: "bullets", 7: "ellipses", 8: None, 9: None,
+    }
+    assert {i for i, r in got.items() if r["passes_v3"]} == {1, 2, 8, 9}
+    assert {i for i, r in got.items() if r["kept"]} == {1, 8, 9}
+    assert {i for i, r in got.items() if not r["passes_v2"]} == {2, 3}
+    digits = 1 << [name for name, _ in rules.RULES].index("digits")
+    assert {i for i, r in got.items() if r["fail_bits"] & digits} == {8}
+
+
+def test_report_by_label_matches_counting(spark):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (1, 1, 0), (4, 0, 0), (4, 1, 0), (7, 0, 1), (None, 0, 0)], "doc_id long, quality int, toxic int"
+    )
+    docs = docs_of(spark, HARD)
+    got = {(r["quality"], r["policy"], r["rule"]): tuple(r)[3:] for r in rules.labelled_report(docs, labels).collect()}
+    quality = {1: 1, 4: 1, 7: 0}
+    order = [name for name, _ in rules.RULES]
+    entries = [(quality.get(r["doc_id"]), r["fail_bits"]) for r in rules.ledger(docs).collect()]
+    want = {}
+    for q in {q for q, _ in entries}:
+        for policy, names in rules.POLICIES.items():
+            mask, mine = rules.mask_of(policy), [bits for x, bits in entries if x == q]
+            for name in names:
+                bit = 1 << order.index(name)
+                want[q, policy, name] = (
+                    len(mine), sum(b & bit > 0 for b in mine), sum(b & mask == bit for b in mine), sum(b & mask == 0 for b in mine),
+                )
+    assert got == want
+    assert rules.labelled_report(docs.limit(0), labels).count() == 0
+
+
 def shards_of(spark, rows, **more):
     got = sharding.shard_by_bytes(docs_of(spark, rows), **more)
     return [r.asDict() for r in got.collect()]
