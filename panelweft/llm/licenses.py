@@ -1,18 +1,24 @@
-"""Licence scan: notices against templates, then inheritance by directory.
-
-A notice is a sentence or line with a licence word. Notices and templates are
-sparse TF-IDF vectors; a notice has the licence of the template with the
-largest cosine if that reaches the threshold. Document frequencies count the
-notices of the whole corpus, copies included, and the templates.
-
-A file whose lines are at least half notices is a licence file: it speaks for
-its directory. A file without a licence of its own takes that of the nearest
-directory above it that has one.
-
-Null and empty texts have no notice and only inherit. Null ids and names are
-the name `-` in a path. Of two licence files in a directory the better match
-counts, then the smaller path. An empty table gives an empty result. Extra
-input columns are ignored.
+"""Licence scan: passages against templates, then inheritance by directory.
+
+Passages of a text are, after comment marks at line starts are taken off: every
+sentence of a line with a licence word, every paragraph (between blank lines)
+with one, and the whole text if it has one. So a wrapped header is compared as a
+whole, and a licence file as one vector. Passages and templates are sparse TF-IDF
+vectors, and each pair with a term in common has its cosine. Document frequencies
+count the sentences of the whole corpus, copies included, and the templates; a
+term that none of them has weighs most.
+
+A file is a licence file if its whole text reaches MIN_FILE with a notice or a
+whole licence, or its first paragraph with the title of a licence. Headers make
+no licence file. It speaks for its directory. Any other file has the licence of
+its best passage from MIN_COSINE on. A file without a licence of its own takes
+that of the nearest directory above it that has one.
+
+Null and empty texts have no passage and only inherit. Texts of any length are
+read whole. Null ids and names are the name `-` in a path. Equal rows get equal
+answers. Of equal scores the smaller licence counts; of two licence files in a
+directory the better match, then the smaller path. An empty table gives an empty
+result. Extra input columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,82 +26,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweft.llm.license_texts import TEMPLATES
 from panelweft.llm.rules import BLANKS
 from panelweft.scale import bounded, materialise
 
-TRIGGER = "licen[cs]e|copyright|rights reserved|spdx|permission is hereby granted|redistribution and use"
+TRIGGER = (
+    "licen[cs]e|copyright|rights reserved|spdx|permission[ \\t\\r\\n]+is[ \\t\\r\\n]+hereby[ \\t\\r\\n]+granted"
+    "|redistribution[ \\t\\r\\n]+and[ \\t\\r\\n]+use|free[ \\t\\r\\n]+and[ \\t\\r\\n]+unencumbered"
+)
+MARKS = "(^|\\n)[ \\t\\r]*[#*/;%!<>-]*[ \\t\\r]*"
+PARAGRAPH = "\\n\\n+"
 SENTENCE_END = "\\n|(?<=[.!?])[ \\t]+"
 TERM = "[a-z0-9]+(?:\\.[0-9]+)*"
 MIN_COSINE = 0.6
+MIN_FILE = 0.8
+
 
-# Short notices as the licences themselves or common practice
-# word them, by SPDX name.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD 3-Clause License.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License, CC BY-SA 4.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "all-rights-reserved": "Copyright. All rights reserved.",
-}
+def says(text: Column) -> Column:
+    """Whether there is a licence word."""
+    return F.lower(text).rlike(TRIGGER)
 
 
 def notices_of(text: Column) -> Column:
-    """The notices of a whole text, trimmed, in order. Lines without a licence
-    word are dropped before they are cut into sentences."""
-    says = lambda x: F.lower(x).rlike(TRIGGER)
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), says)
+    """The sentences of lines with a licence word that have one, trimmed, in order."""
+    lines = F.filter(F.split(text, "\n"), says)
     parts = F.flatten(F.transform(lines, lambda line: F.split(line, SENTENCE_END)))
     return F.transform(F.filter(parts, says), lambda x: F.btrim(x, F.lit(BLANKS)))
 
 
-def filled_lines(text: Column) -> Column:
-    """Lines with anything in them."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    return F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+def paragraphs_of(text: Column) -> Column:
+    return F.filter(F.split(text, PARAGRAPH), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
 
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def score_notices(notices: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """(notice, n) -> notice, license, score: the best template of each
-    distinct notice; `n` says how often the notice occurs. Ties: smaller name."""
-    spark = notices.sparkSession
-    known = spark.createDataFrame(sorted(templates.items()), "name string, body string")
-    vector = lambda df, key, body, n: (
-        df.select(key, n.alias("n"), F.explode(terms(body)).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("n").alias("n"))
+def score_passages(passages: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """(key, body, n) -> key and the best (score, license) among all templates
+    (`best`), among notices and whole licences (`as_file`) and among titles
+    (`as_title`), null where none has a term in common. `n` says how often a
+    sentence occurs; other passages have 0 and do not count in frequencies."""
+    spark = passages.sparkSession
+    known = spark.createDataFrame([(n, *t) for n, t in enumerate(templates)], "id int, name string, kind string, body string")
+    ours = materialise(
+        passages.select("key", "n", F.explode(terms(F.col("body"))).alias("term"))
+        .groupBy("key", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n").alias("n")),
+        "passage-terms",
     )
-    of_notice = materialise(vector(notices, "notice", F.col("notice"), F.col("n")), "notice-terms")
-    of_template = vector(known, "name", F.col("body"), F.lit(1).cast("long"))
-    size = notices.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(templates)).alias("N"))
-    idf = bounded(
-        of_notice.select("term", "n").unionByName(of_template.select("term", "n"))
-        .groupBy("term").agg(F.sum("n").alias("df"))
-        .withColumn("idf", F.log((size.scalar() + 1) / (F.col("df") + 1)) + 1)
-        .select("term", "idf")
+    theirs = (
+        known.select("id", "name", "kind", F.explode(terms(F.col("body"))).alias("term"))
+        .groupBy("id", "name", "kind", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
-    weigh = lambda df: df.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    mine, theirs = materialise(weigh(of_notice), "weighed"), weigh(of_template)
+    size = passages.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(templates)).alias("N")).first()["N"]
+    weight = lambda df: F.log((F.lit(size) + 1) / (df + 1)) + 1
+    held = ours.where("n > 0").select("term", "n").unionByName(theirs.select("term", F.lit(1).cast("long").alias("n")))
+    idf = bounded(held.groupBy("term").agg(weight(F.sum("n")).alias("idf")))
+    weigh = lambda df: df.join(idf, "term", "left").withColumn(
+        "w", F.col("tf") * F.coalesce("idf", weight(F.lit(0)))
+    ).drop("idf", "tf")
+    mine, theirs = materialise(weigh(ours).select("key", "term", "w"), "weighed"), weigh(theirs)
     length = lambda df, key: df.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    # the templates are a parameter of this function: a few hundred terms
-    small = F.broadcast(theirs.join(length(theirs, "name"), "name").select("name", "term", (F.col("w") / F.col("norm")).alias("tw")))
-    dots = mine.join(small, "term").groupBy("notice", "name").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = dots.join(length(mine, "notice"), "notice").select(
-        "notice", "name", F.round(F.col("dot") / F.col("norm"), 6).alias("score")
+    # the templates are a parameter of this function: some thousand terms
+    small = F.broadcast(
+        theirs.join(length(theirs, "id"), "id").select("id", "name", "kind", "term", (F.col("w") / F.col("norm")).alias("tw"))
     )
-    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("name")))
-    return scored.groupBy("notice").agg(best.alias("b")).select(
-        "notice", F.col("b.name").alias("license"), (-F.col("b.s")).alias("score")
+    dots = mine.join(small, "term").groupBy("key", "id", "name", "kind").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = dots.join(length(mine, "key"), "key").withColumn(
+        "__s", F.struct((-F.round(F.col("dot") / F.col("norm"), 6)).alias("score"), F.col("name").alias("license"))
     )
+    of = lambda *kinds: F.min(F.when(F.col("kind").isin(*kinds), F.col("__s")))
+    found = scored.groupBy("key").agg(
+        of("notice", "header", "file").alias("best"), of("notice", "file").alias("as_file"), of("title").alias("as_title")
+    )
+    plus = lambda c: F.struct((-F.col(f"{c}.score")).alias("score"), F.col(f"{c}.license").alias("license"))
+    return found.select("key", *[F.when(F.col(c).isNotNull(), plus(c)).alias(c) for c in ("best", "as_file", "as_title")])
 
 
 def folder(path: Column) -> Column:
@@ -127,33 +132,63 @@ def inherit(folders: DataFrame, speaking: DataFrame) -> DataFrame:
 
 
 def scan_licenses(
-    files: DataFrame, path: Column, templates: dict[str, str] = TEMPLATES,
-    min_cosine: float = MIN_COSINE, text: str = "text", id_col: str = "doc_id",
+    files: DataFrame, path: Column, templates=TEMPLATES,
+    min_cosine: float = MIN_COSINE, min_file: float = MIN_FILE, text: str = "text", id_col: str = "doc_id",
 ) -> DataFrame:
     """doc_id, path, n_notices, own_license, score, is_license_file, license,
     from_dir: one row per input row. `from_dir` is null unless inherited.
 
-    Texts are read once; from then on only notices and paths move.
+    Texts are read once; from then on passages, digests and paths move. Texts
+    without a licence word have no passage. Equal passages are scored once.
     """
+    bare = F.when(says(F.col(text)), F.regexp_replace(text, MARKS, "$1"))
+    passage = lambda kind, n: lambda x: F.struct(
+        F.lit(kind).alias("kind"), F.md5(x).alias("key"), x.alias("body"), F.lit(n).cast("long").alias("n")
+    )
+    # texts without passages have keys that match nothing, and are spread by them
+    key = lambda x: F.coalesce(F.md5(x), F.concat(F.lit("-"), "path"))
     found = materialise(
-        files.select(
-            F.col(id_col).alias("doc_id"), path.alias("path"), F.xxhash64(text).alias("__h"),
-            notices_of(F.col(text)).alias("__notices"), filled_lines(F.col(text)).alias("__lines"),
+        files.select(F.col(id_col).alias("doc_id"), path.alias("path"), F.md5(text).alias("__h"), bare.alias("__bare"))
+        .withColumn("__notices", notices_of(F.col("__bare")))
+        .withColumn("__paragraphs", paragraphs_of(F.col("__bare")))
+        .select(
+            "doc_id", "path", "__h", F.coalesce(F.size("__notices"), F.lit(0)).cast("long").alias("n_notices"),
+            key("__bare").alias("__whole"), key(F.get("__paragraphs", F.lit(0))).alias("__title"),
+            F.concat(
+                F.transform("__notices", passage("sentence", 1)),
+                F.transform(
+                    F.filter("__paragraphs", lambda x, i: (i == 0) | says(x)), passage("paragraph", 0)
+                ),
+                F.transform(F.array("__bare"), passage("whole", 0)),
+            ).alias("__passages"),
         ),
-        "notices",
+        "passages",
     )
-    each = found.select("path", "__h", F.explode("__notices").alias("notice"))
-    counted = materialise(each.groupBy("notice").agg(F.count(F.lit(1)).alias("n")), "distinct-notices")
-    known = bounded(score_notices(counted, templates).where(F.col("score") >= min_cosine))
-    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("license")))
+    each = found.select("path", "__h", F.explode("__passages").alias("p")).select("path", "__h", "p.*")
+    distinct = materialise(each.groupBy("key").agg(F.first("body").alias("body"), F.sum("n").alias("n")), "distinct-passages")
+    known = bounded(
+        score_passages(distinct, templates).where(
+            (F.col("best.score") >= min_cosine) | (F.col("as_file.score") >= min_file) | (F.col("as_title.score") >= min_file)
+        )
+    )
+    rank = lambda c: F.struct((-F.col(f"{c}.score")).alias("s"), F.col(f"{c}.license").alias("license"))
     own = (
-        each.distinct().join(known, "notice").groupBy("path", "__h").agg(best.alias("b"))
-        .select("path", "__h", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("score"))
+        each.select("path", "__h", "key").distinct().join(known.select("key", "best"), "key")
+        .where(F.col("best.score") >= min_cosine)
+        .groupBy("path", "__h").agg(F.min(rank("best")).alias("b"))
+    )
+    files_like = lambda key, kind: known.where(F.col(f"{kind}.score") >= min_file).select(
+        F.col("key").alias(key), rank(kind).alias(f"__{kind}")
     )
+    decided = F.least("__as_file", "__as_title")
     files_with = materialise(
-        found.join(own, ["path", "__h"], "left").select(
-            "doc_id", "path", F.size("__notices").cast("long").alias("n_notices"), "own_license", "score",
-            (F.col("own_license").isNotNull() & (2 * F.size("__notices") >= F.col("__lines"))).alias("is_license_file"),
+        found.drop("__passages").join(own, ["path", "__h"], "left")
+        .join(files_like("__whole", "as_file"), "__whole", "left")
+        .join(files_like("__title", "as_title"), "__title", "left")
+        .withColumn("__file", decided).withColumn("__own", F.coalesce("__file", "b"))
+        .select(
+            "doc_id", "path", "n_notices", F.col("__own.license").alias("own_license"),
+            (-F.col("__own.s")).alias("score"), F.col("__file").isNotNull().alias("is_license_file"),
             folder(F.col("path")).alias("dir"),
         ),
         "files",

@@ -149,36 +149,45 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op3_sql() -> str:
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-    known = ", ".join(f"('{k}', '{v}')" for k, v in sorted(licenses.TEMPLATES.items()))
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({n}, {', '.join(map(quoted, t))})" for n, t in enumerate(licenses.TEMPLATES))
+    says = f"regexp_matches(lower(x), '{licenses.TRIGGER}')"
+    size = f"((SELECT coalesce(sum(n), 0) FROM n) + {len(licenses.TEMPLATES)} + 1)"
     return f"""
 WITH f AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') || '/'
     || regexp_replace(regexp_extract(doc_id::VARCHAR, '^(.*).$', 1), '(.)', '\\1/', 'g') || doc_id AS path,
-  string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, path, len(list_filter(lines, lambda x: trim(x, {blank}) <> '')) AS n_lines,
-  list_filter(flatten(list_transform(list_filter(lines, lambda x: regexp_matches(lower(x), '{licenses.TRIGGER}')),
+  CASE WHEN regexp_matches(lower(text), '{licenses.TRIGGER}') THEN regexp_replace(text, '{licenses.MARKS}', '\\1', 'g') END AS bare
+  FROM documents),
+l AS (SELECT doc_id, path, bare,
+  coalesce(list_transform(list_filter(flatten(list_transform(list_filter(string_split(bare, chr(10)), lambda x: {says}),
     lambda x: string_split(regexp_replace(x, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)))),
-    lambda x: regexp_matches(lower(x), '{licenses.TRIGGER}')) AS notices FROM f),
-e AS (SELECT path, trim(unnest(notices), {blank}) AS notice FROM l),
-n AS (SELECT notice, count(*) AS n FROM e GROUP BY 1),
-t(name, body) AS (VALUES {known}),
-nt AS (SELECT notice, n, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+(?:\\.[0-9]+)*')) AS term FROM n),
-nv AS (SELECT notice, term, n, count(*) AS tf FROM nt GROUP BY ALL),
-tt AS (SELECT name, unnest(regexp_extract_all(lower(body), '[a-z0-9]+(?:\\.[0-9]+)*')) AS term FROM t),
-tv AS (SELECT name, term, count(*) AS tf FROM tt GROUP BY ALL),
-df AS (SELECT term, sum(n) AS df FROM (SELECT term, n FROM nv UNION ALL SELECT term, 1 FROM tv) GROUP BY 1),
-idf AS (SELECT term, ln(((SELECT coalesce(sum(n), 0) FROM n) + {len(licenses.TEMPLATES)} + 1) / (df + 1)) + 1 AS idf FROM df),
-nw AS (SELECT notice, term, tf * idf AS w FROM nv JOIN idf USING (term)),
-tw AS (SELECT name, term, tf * idf AS w FROM tv JOIN idf USING (term)),
-nn AS (SELECT notice, sqrt(sum(w * w)) AS norm FROM nw GROUP BY 1),
-tn AS (SELECT name, sqrt(sum(w * w)) AS norm FROM tw GROUP BY 1),
-c AS (SELECT notice, name, round(sum(nw.w * tw.w) / any_value(nn.norm * tn.norm), 6) AS score
-  FROM nw JOIN tw USING (term) JOIN nn USING (notice) JOIN tn USING (name) GROUP BY 1, 2),
-b AS (SELECT notice, name, score FROM c QUALIFY row_number() OVER (PARTITION BY notice ORDER BY score DESC, name) = 1),
-o AS (SELECT path, name AS own_license, score FROM e JOIN b USING (notice) WHERE score >= {licenses.MIN_COSINE}
+    lambda x: {says}), lambda x: trim(x, {blank})), []) AS notices,
+  list_filter(string_split_regex(bare, '{licenses.PARAGRAPH}'), lambda x: trim(x, {blank}) <> '') AS paragraphs FROM f),
+p AS (SELECT path, unnest(list_distinct(notices || list_filter(paragraphs, lambda x, i: i = 1 OR {says}) || [bare])) AS body
+  FROM l WHERE bare IS NOT NULL),
+n AS (SELECT body, count(*) AS n FROM (SELECT unnest(notices) AS body FROM l) GROUP BY 1),
+d AS (SELECT body, coalesce(n, 0) AS n FROM (SELECT DISTINCT body FROM p) LEFT JOIN n USING (body)),
+t(id, name, kind, body) AS (VALUES {known}),
+nt AS (SELECT body, n, unnest(regexp_extract_all(lower(body), '{licenses.TERM}')) AS term FROM d),
+nv AS (SELECT body, term, n, count(*) AS tf FROM nt GROUP BY ALL),
+tt AS (SELECT id, name, kind, unnest(regexp_extract_all(lower(body), '{licenses.TERM}')) AS term FROM t),
+tv AS (SELECT id, name, kind, term, count(*) AS tf FROM tt GROUP BY ALL),
+df AS (SELECT term, sum(n) AS df FROM (SELECT term, n FROM nv WHERE n > 0 UNION ALL SELECT term, 1 FROM tv) GROUP BY 1),
+idf AS (SELECT term, ln({size} / (df + 1)) + 1 AS idf FROM df),
+nw AS (SELECT body, term, tf * coalesce(idf, ln({size}) + 1) AS w FROM nv LEFT JOIN idf USING (term)),
+tw AS (SELECT id, name, kind, term, tf * idf AS w FROM tv JOIN idf USING (term)),
+nn AS (SELECT body, sqrt(sum(w * w)) AS norm FROM nw GROUP BY 1),
+tn AS (SELECT id, sqrt(sum(w * w)) AS norm FROM tw GROUP BY 1),
+c AS (SELECT nw.body, tw.id, tw.name, tw.kind, round(sum(nw.w * tw.w) / any_value(nn.norm * tn.norm), 6) AS score
+  FROM nw JOIN tw USING (term) JOIN nn ON nn.body = nw.body JOIN tn ON tn.id = tw.id GROUP BY ALL),
+o AS (SELECT path, name, score FROM p JOIN c USING (body) WHERE kind <> 'title' AND score >= {licenses.MIN_COSINE}
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, name) = 1),
-w AS (SELECT doc_id, path, len(notices)::BIGINT AS n_notices, own_license, score,
-  own_license IS NOT NULL AND 2 * len(notices) >= n_lines AS is_license_file,
-  regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM l LEFT JOIN o USING (path)),
+y AS (SELECT path, name, score FROM l JOIN c ON (c.body = l.bare AND kind IN ('notice', 'file'))
+    OR (c.body = l.paragraphs[1] AND kind = 'title') WHERE score >= {licenses.MIN_FILE}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, name) = 1),
+w AS (SELECT doc_id, path, len(notices)::BIGINT AS n_notices, coalesce(y.name, o.name) AS own_license,
+  coalesce(y.score, o.score) AS score, y.name IS NOT NULL AS is_license_file,
+  regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM l LEFT JOIN o USING (path) LEFT JOIN y USING (path)),
 s AS (SELECT dir, own_license AS license FROM w WHERE is_license_file
   QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
 g AS (SELECT d.dir, s.dir AS from_dir, s.license FROM (SELECT DISTINCT dir FROM w) d

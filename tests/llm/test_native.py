@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelweft.llm import fingerprints, licenses, mixing, rules, sharding
+from panelweft.llm import fingerprints, license_texts, licenses, mixing, rules, sharding
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, __x string"
 
@@ -303,3 +304,50 @@ def test_licenses_are_found_and_inherited(spark):
     assert by_id[7]["own_license"] is None and by_id[7]["n_notices"] == 1
     assert by_id[None]["license"] == "GPL-3.0"
     assert licenses.scan_licenses(files.limit(0), F.col("path")).count() == 0
+
+
+def wrapped(text, width=70, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def whole(name, kind="file"):
+    return next(body for n, k, body in license_texts.TEMPLATES if (n, k) == (name, kind))
+
+
+CODE = "\n".join(f"def step{n}(value{n}):\n    return value{n} + offset{n}" for n in range(40))
+
+
+def test_license_files_and_wrapped_headers(spark):
+    named = lambda name: whole(name).replace("Copyright (c)", "\n\nCopyright (c) 2021 Jane Roe and others\n\n")
+    files = {name: named(name) for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib")}
+    files["Unlicense"] = whole("Unlicense")
+    rows = [(n, "\n\n".join(wrapped(x) for x in text.split("\n\n")), f"{name}/LICENSE") for n, (name, text) in enumerate(files.items())]
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + wrapped(PROSE * 30)
+    rows += [(20, gpl, "GPL-3.0/COPYING"), (21, whole("Apache-2.0", "title") + "\n\n" + PROSE, "Apache-2.0/LICENSE")]
+    heads = {"Apache-2.0": "# ", "GPL-3.0": " * ", "GPL-2.0": "// ", "LGPL-3.0": "-- ", "MPL-2.0": "; "}
+    rows += [
+        (30 + n, f"{mark}Copyright 2020 Some Body\n{mark}\n{wrapped(whole(name, 'header'), 60, mark)}\n\n{CODE}", f"src{n}/{name}.x")
+        for n, (name, mark) in enumerate(heads.items())
+    ]
+    rows += [(50, f"{wrapped(whole('Apache-2.0', 'header'), 60, '# ')}\n\n{CODE}\n" * 400, "long/a.py"), (51, CODE, "long/b.py")]
+    rows += [(60, CODE, f"{name}/sub/code.py") for name in files]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, path string"), F.col("path")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] < 30:
+            assert r["is_license_file"] and r["license"] == r["path"].split("/")[0], r
+        elif r["doc_id"] < 50:
+            assert not r["is_license_file"] and r["license"] == r["path"].split("/")[1][:-2], r
+        elif r["doc_id"] == 60:
+            assert r["license"] == r["from_dir"] == r["path"].split("/")[0], r
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[50]["own_license"] == "Apache-2.0" and not by_id[50]["is_license_file"]
+    assert by_id[51]["license"] is None
+
+
+def test_equal_license_scores_take_the_smaller_name(spark):
+    twice = (("B", "notice", "under the same licence"), ("A", "notice", "under the same licence"))
+    rows = [(1, "under the same licence", "x/LICENSE"), (1, "under the same licence", "x/LICENSE"), (2, "other words", "x/y")]
+    files = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = licenses.scan_licenses(files, F.col("path"), twice).collect()
+    assert sorted((r["doc_id"], r["license"], r["is_license_file"]) for r in got) == [(1, "A", True), (1, "A", True), (2, "A", False)]
