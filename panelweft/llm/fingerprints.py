@@ -7,7 +7,10 @@ While a text has fewer than k shingles everything is exact.
 
 A text of one to four words is one shingle; an empty or null text has an empty
 sketch. Two empty sketches resemble each other wholly, an empty and another not
-at all. Equal texts have equal sketches.
+at all. Equal texts have equal sketches. Texts of any length are read whole. Rows
+without an id come first, rows with the same id are ordered by text, and rows
+equal in both are one document repeated, each of them next to the other. An empty
+table gives an empty result. Extra input columns are ignored. Ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweft.llm.rules import words_of
-from panelweft.scale import bounded, running_total
+from panelweft.scale import bounded, materialise, running_total
 
 K = 128
 SHINGLE = 5
@@ -96,31 +99,63 @@ def merge_parts(parts: DataFrame, by: str, k: int = K) -> DataFrame:
     )
 
 
+def in_cells(keys: DataFrame, per_cell: int = PER_BUCKET) -> list[DataFrame]:
+    """How to cut the order of (__id, __h) into cells of about `per_cell` rows: a
+    list of tables for `to_cell`, each cutting the crowded cells of those before.
+
+    A crowded cell is one of four times as many rows. It is cut evenly between its
+    own least and greatest id, or hash where it has only one id. As these fall into
+    different parts, every round gets nearer, whatever gaps the ids have; even ids
+    take one round. Only equal rows stay together.
+    """
+    cuts: list[DataFrame] = []
+    cells = keys.withColumn("__cell", F.array().cast("array<bigint>"))
+    wide = lambda c: F.col(c).cast("decimal(20,0)")
+    while True:
+        sizes = cells.groupBy("__cell").agg(
+            F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{n}{c}") for c in ("__id", "__h") for n, f in (("low", F.min), ("high", F.max))]
+        )
+        by_id = F.col("low__id") < F.col("high__id")
+        low, high = (F.when(by_id, wide(f"{n}__id")).otherwise(wide(f"{n}__h")) for n in ("low", "high"))
+        crowded = sizes.where((F.col("n") > 4 * per_cell) & (by_id | (F.col("low__h") < F.col("high__h")))).select(
+            "__cell", by_id.alias("__by_id"), low.alias("__low"),
+            F.greatest(F.lit(1), F.floor(F.lit(per_cell) * (high - low + 1) / F.col("n"))).cast("decimal(20,0)").alias("__width"),
+        )
+        crowded = materialise(crowded, "crowded-cells")
+        if crowded.isEmpty():
+            return cuts
+        cuts.append(crowded)
+        cells = to_cell(cells, crowded)
+
+
+def to_cell(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Rows of crowded cells go on to a part of them."""
+    at = F.when(F.col("__by_id"), F.col("__id")).otherwise(F.col("__h")).cast("decimal(20,0)") - F.col("__low")
+    part = F.floor(at / F.col("__width")).cast("long")
+    found = rows.join(bounded(crowded), "__cell", "left")
+    cell = F.when(F.col("__low").isNull(), F.col("__cell")).otherwise(F.concat("__cell", F.array(part)))
+    return found.withColumn("__cell", cell).drop("__by_id", "__low", "__width")
+
+
 def with_next(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, __text, __next (text of the next document by id; after the last
     comes the first), and sketches of both.
 
-    Documents go once to buckets of neighbouring ids, about 256 in each. The
-    first document of a bucket is also sent to the bucket before, so that its
+    Documents go once to cells of neighbouring ids, about 256 in each. The
+    first document of a cell is also sent to the cell before, so that its
     last document finds its neighbour. Order among equal ids: by text hash.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), body.alias("__text")).withColumn(
-        "__h", F.xxhash64("__text")
-    )
-    facts = docs.agg(
-        F.min(id_col).alias("low"), F.max(id_col).alias("high"), F.count(F.lit(1)).alias("n")
-    ).first()
-    low = facts["low"] or 0
-    width = max(1, PER_BUCKET * ((facts["high"] or 0) - low + 1) // max(1, facts["n"]))
-    # null ids come first and are spread by hash, so that they fill no one bucket
-    base = base.withColumns({
-        "__bucket": F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1)),
-        "__salt": F.when(F.col("doc_id").isNull(), F.shiftright("__h", 54)).otherwise(0),
-        "__id": F.coalesce("doc_id", F.lit(0)),
+    base = docs.select(F.col(id_col).alias("doc_id"), body.alias("__text")).withColumns({
+        "__h": F.xxhash64("__text"), "__id": F.coalesce("doc_id", F.lit(-(1 << 63))),
     })
-    keys = ["__bucket", "__salt"]
-    firsts = base.groupBy(*keys).agg(F.min(F.struct("__id", "__h")).alias("__first"))
+    slim = materialise(base.select("__id", "__h"), "order-keys")
+    cuts = in_cells(slim)
+    base, slim = (df.withColumn("__cell", F.array().cast("array<bigint>")) for df in (base, slim))
+    for crowded in cuts:
+        base, slim = to_cell(base, crowded), to_cell(slim, crowded)
+    keys = ["__cell"]
+    firsts = slim.groupBy(*keys).agg(F.min(F.struct("__id", "__h")).alias("__first"))
     order = running_total(firsts.withColumn("__one", F.lit(1)), keys, "__one", "__rank")
     n = order.agg(F.max("__rank")).first()[0] or 0
     before = order.select(
@@ -137,7 +172,7 @@ def with_next(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Da
     other = F.struct(*[F.col(f"__before{c}").alias(c) for c in keys], F.lit(1).alias("__late"))
     sent = (
         base.join(halo, [*keys, "__id", "__h"], "left")
-        .withColumn("__to", F.explode(F.when(F.col("__before__bucket").isNull(), F.array(own)).otherwise(F.array(own, other))))
+        .withColumn("__to", F.explode(F.when(F.col("__before__cell").isNull(), F.array(own)).otherwise(F.array(own, other))))
         .select("doc_id", "__text", "__h", "__id", F.col("__to.*"))
     )
     line = Window.partitionBy(*keys).orderBy("__late", "__id", "__h")

@@ -193,6 +193,28 @@ def test_fingerprints_match_plain_python(spark):
         assert r["near_edited"] == plain_likeness(a, b) and r["near_next"] == plain_likeness(a, c)
 
 
+def test_cells_of_uneven_ids(spark):
+    ids = list(range(3000)) + [10**15, 10**18, 10**18 + 1, -(10**17)] + [77] * 3000 + [None] * 1500
+    rows = [(i, f"text {n} of it", "en", "a") for n, i in enumerate(ids)] + [(5, "copy", "en", "a")] * 9
+    docs = docs_of(spark, rows).select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), F.xxhash64("text").alias("__h"), "text"
+    )
+    cells = docs.withColumn("__cell", F.array().cast("array<bigint>"))
+    for crowded in fingerprints.in_cells(docs.select("__id", "__h"), 64):
+        cells = fingerprints.to_cell(cells, crowded)
+    got = sorted((tuple(r["__cell"]), r["__id"], r["__h"]) for r in cells.collect())
+    assert [(i, h) for _, i, h in got] == sorted((i, h) for _, i, h in got)
+    assert max(Counter(c for c, _, _ in got).values()) <= 256
+
+
+def test_next_of_uneven_ids(spark):
+    ids = list(range(1500)) + [10**15, 10**18, -(10**17)]
+    texts = {i: f"one two three four five six {i}" for i in ids}
+    got = {r["doc_id"]: r["__next"] for r in fingerprints.with_next(docs_of(spark, [(i, t, "en", "a") for i, t in texts.items()])).collect()}
+    order = sorted(ids)
+    assert got == {i: texts[order[(n + 1) % len(order)]] for n, i in enumerate(order)}
+
+
 def test_fingerprints_of_hard_rows_and_parts(spark):
     got = fingerprints.document_fingerprints(docs_of(spark, HARD)).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in HARD)
