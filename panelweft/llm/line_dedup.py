@@ -32,18 +32,10 @@ from panelweft.scale import bounded, materialise
 
 AVERAGE = 3  # one of so many lines may end a chunk
 LONG = 150  # bytes of a line that is a chunk of its own: about 25 words
+OFTEN = 10_000  # occurrences of a chunk that are not sent to one task
+PART = 256  # documents whose chunks a worker holds at once
 BASE, PRIME = 1_000_003, (1 << 31) - 1
 
-CHUNKS = T.ArrayType(
-    T.StructType([
-        T.StructField("place", T.IntegerType()),
-        T.StructField("lines", T.IntegerType()),
-        T.StructField("start", T.IntegerType()),  # bytes of the UTF-8 text
-        T.StructField("size", T.IntegerType()),
-        T.StructField("digest", T.StringType()),
-    ])
-)
-
 
 def line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.md5(line).digest()[:4], "big") % PRIME
@@ -68,27 +60,31 @@ def chunks_of(text: bytes, average: int = AVERAGE, long: int | None = LONG) -> l
     return found
 
 
-def _candidates(average: int, long: int | None):
-    """Per document the chunks of two lines or more and the long lines; the bytes
-    of a text are sliced from the Arrow buffer, one document at a time."""
+def _candidates(average: int, long: int | None, digest_bytes: int, bodies: bool):
+    """Per document the chunks of two lines or more and the long lines, with their
+    bytes if asked for; these are sliced from the Arrow buffer, one document at a
+    time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([
-            ("__id", pa.int64()), ("__h", pa.int64()), ("place", pa.int32()), ("start", pa.int32()),
-            ("size", pa.int32()), ("digest", pa.string()),
+            ("__id", pa.int64()), ("__h", pa.int64()), ("place", pa.int32()), ("digest", pa.binary()),
+            *([("body", pa.binary())] if bodies else []),
         ])
         for batch in batches:
-            rows = []
-            ids, hashes, texts = batch.columns
-            for i in range(batch.num_rows):
-                if not texts[i].is_valid or not (body := texts[i].as_buffer().to_pybytes()):
-                    continue
-                for place, lines, start, size in chunks_of(body, average, long):
-                    if lines > 1 or (long is not None and size >= long):
-                        digest = hashlib.md5(body[start : start + size]).hexdigest()
-                        rows.append((ids[i].as_py(), hashes[i].as_py(), place, start, size, digest))
-            cols = list(zip(*rows)) if rows else [[]] * len(kind)
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, kind)], kind)
+            for at in range(0, batch.num_rows, PART):
+                part, rows = batch.slice(at, PART), []
+                ids, hashes, texts = part.columns
+                for i in range(part.num_rows):
+                    if not texts[i].is_valid or not (body := texts[i].as_buffer().to_pybytes()):
+                        continue
+                    for place, lines, start, size in chunks_of(body, average, long):
+                        if lines > 1 or (long is not None and size >= long):
+                            chunk = body[start : start + size]
+                            digest = hashlib.md5(chunk).digest()[:digest_bytes]
+                            row = (ids[i].as_py(), hashes[i].as_py(), place, digest)
+                            rows.append((*row, chunk) if bodies else row)
+                cols = list(zip(*rows)) if rows else [[]] * len(kind)
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, kind)], kind)
 
     return run
 
@@ -128,50 +124,49 @@ def _cut(average: int, long: int | None):
 
 
 def repeated_chunks(
-    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id", lookup=bounded
+    docs: DataFrame, average: int = AVERAGE, long: int | None = LONG, text: str = "text", id_col: str = "doc_id",
+    digest_bytes: int = 16,
 ) -> DataFrame:
     """(__id, __h, lost): for each document that has any, the places of the
-    chunks that occurred before. Texts travel only for chunks whose hash
-    occurs twice, and copies of those are reduced before they are shuffled.
-    `lookup` is what a table with a row per affected document goes through before
-    texts are joined with it: measured and broadcast if small, or left as it is."""
+    chunks that occurred before. The bytes of a chunk are shuffled once, after equal
+    ones of a task have become one; where a digest turns out to stand for one chunk
+    only, its occurrences are told by the digest from then on. Digests that stand
+    for several chunks are joined with the bytes. All joins are the same at every
+    size, but for chunks that occur very often: those are a measured lookup, so that
+    their occurrences meet no common task."""
     base = docs.select(
         F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("__id"),
         F.xxhash64(text).alias("__h"), F.col(text).alias("__text"),
     )
-    chunks = materialise(
-        base.mapInArrow(
-            _candidates(average, long),
-            "__id long, __h long, place int, start int, size int, digest string",
-        ),
-        "chunks",
-    )
+    kind = "__id long, __h long, place int, digest binary"
+    chunks = materialise(base.mapInArrow(_candidates(average, long, digest_bytes, False), kind), "chunks")
+    whole = base.mapInArrow(_candidates(average, long, digest_bytes, True), f"{kind}, body binary")
+    where = F.struct("__id", "__h", "place")
     # rows equal in id, text and place are one occurrence
-    again = bounded(
-        chunks.groupBy("digest", "size").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("__id").alias("low"), F.max("__id").alias("high"),
-            F.min("__h").alias("low_h"), F.max("__h").alias("high_h"),
-            F.min("place").alias("low_p"), F.max("place").alias("high_p"),
-        )
-        .where("n > 1 AND (low < high OR low_h < high_h OR low_p < high_p)")
-        .select("digest", "size")
+    compared = whole.groupBy("digest", "body").agg(
+        F.min(where).alias("first"), F.max(where).alias("last"), F.count(F.lit(1)).alias("n")
     )
-    wanted = chunks.join(again, ["digest", "size"]).select("__id", "__h", "place", "start", "size", "digest")
-    per_doc = lookup(
-        wanted.groupBy("__id", "__h").agg(F.collect_set(F.struct("place", "start", "size", "digest")).alias("__want"))
+    repeated = materialise(
+        compared.groupBy("digest").agg(
+            F.count(F.lit(1)).alias("bodies"), F.min("first").alias("first"), F.max("last").alias("last"),
+            F.sum("n").alias("n"),
+        )
+        .where("first < last"),
+        "repeated",
     )
-    # the bytes of the candidates, sliced from the texts
-    bodies = materialise(
-        base.join(per_doc, ["__id", "__h"])
-        .select("__id", "__h", F.col("__text").cast("binary").alias("__b"), F.explode("__want").alias("w"))
-        .select("__id", "__h", "w.place", "w.digest", F.substring("__b", F.col("w.start") + 1, F.col("w.size")).alias("body")),
-        "candidates",
+    one = repeated.where("bodies = 1").select("digest", "first", "n")
+    often = bounded(one.where(F.col("n") >= OFTEN).select("digest", "first"))
+    later = (
+        chunks.join(often, "digest", "left_anti")
+        .join(one.where(F.col("n") < OFTEN).select("digest", "first").hint("merge"), "digest")
+        .unionByName(chunks.join(often, "digest"))
     )
-    where = F.struct("__id", "__h", "place")
-    # digest keeps the shuffle even, the body decides
-    first = bounded(bodies.groupBy("digest", "body").agg(F.min(where).alias("first")))
-    later = bodies.join(first, ["digest", "body"]).where(where > F.col("first"))
+    several = repeated.where("bodies > 1").select("digest")
+    if not several.isEmpty():
+        again = materialise(whole.join(bounded(several), "digest"), "several")
+        first = again.groupBy("digest", "body").agg(F.min(where).alias("first"))
+        later = later.unionByName(again.join(first, ["digest", "body"]).drop("body"))
+    later = later.where(where > F.col("first"))
     return later.groupBy("__id", "__h").agg(F.collect_set("place").alias("lost"))
 
 
@@ -215,11 +210,10 @@ def dedup_lines(
 
 def line_dedup(docs: DataFrame, average: int = AVERAGE, long: int | None = LONG) -> DataFrame:
     """Digest for the query: each document's cleaned text and what it lost. So many
-    documents hold a repeated line that the tables of them are no lookups: texts
-    are joined with them in the same way at every size."""
-    plain = lambda df: materialise(df, "affected")
-    lost = repeated_chunks(docs, average, long, lookup=plain)
-    cut = remove_chunks(docs, lost, average, long, lookup=plain)
+    documents hold a repeated line that the table of them is no lookup: texts are
+    joined with it in the same way at every size."""
+    lost = repeated_chunks(docs, average, long)
+    cut = remove_chunks(docs, lost, average, long, lookup=lambda df: df.hint("merge"))
     return cut.select(
         F.col("__row.doc_id").alias("doc_id"), F.col("__kept").alias("text"),
         F.col("__lines").alias("n_lines"), F.col("__lost_lines").alias("n_lost_lines"),

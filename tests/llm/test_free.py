@@ -122,6 +122,16 @@ def test_long_lines_go_and_stay_by_choice(spark):
     assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(rows)
 
 
+def test_chunks_with_equal_digests_are_told_apart_by_their_bytes(spark):
+    rows = [(n, "\n".join(f"line {(n * 7 + i * i) % 23} of the page" for i in range(30))) for n in range(40)]
+    docs = docs_of(spark, rows)
+    lost = lambda size: {
+        (r["__id"], p) for r in line_dedup.repeated_chunks(docs, digest_bytes=size).collect() for p in r["lost"]
+    }
+    whole = lost(16)
+    assert whole and lost(1) == whole and lost(0) == whole
+
+
 def test_line_dedup_of_hard_rows(spark):
     found = line_dedup.line_dedup(docs_of(spark, HARD)).collect()
     assert Counter((r["doc_id"], r["text"]) for r in found) == plain_dedup(HARD)
