@@ -1,7 +1,9 @@
 """Near-duplicate detection by order MinHash.
 
 A text's k-mers are its runs of five words, each labelled with how often the
-same run occurred before. For each of several seeded orders a sketch slot takes
+same run occurred before; of a stretch that goes on repeating one to five words
+only the first of its rounds has k-mers, or a long filler would be all that a
+sketch holds. For each of several seeded orders a sketch slot takes
 the two least k-mers and keeps them in the order of the text; two texts are
 candidates if a slot is equal. Candidates are aligned word by word in a band:
 two texts are linked if 1 - edits / words of the longer is 0.8 or more. One kind
@@ -40,6 +42,7 @@ from panelweft.scale import bounded, materialise, running_total
 
 K = 5  # words of a k-mer
 LEAST = 2  # k-mers of a slot
+STRETCH = 10  # words of a stretch that repeats itself, three times at least
 SLOTS = 128  # enough for scattered edits down to SIMILARITY
 SIMILARITY = 0.8
 OWN = 0.5  # common words outside of fillers, of texts that repeat the same run
@@ -82,6 +85,20 @@ def kmers(words: np.ndarray) -> np.ndarray:
     return told_apart(runs(words))
 
 
+def without_rounds(words: np.ndarray) -> np.ndarray:
+    """The words without those that only repeat the ones before them: a stretch of
+    STRETCH words or more with a period of up to K words, three times its period at
+    least, keeps its first period."""
+    keep = np.ones(len(words), bool)
+    for q in range(1, min(K, len(words) - 1) + 1):
+        same = np.concatenate(([False], words[q:] == words[:-q], [False]))
+        turns = np.nonzero(same[1:] != same[:-1])[0]
+        for begin, end in zip(turns[::2], turns[1::2]):
+            if end - begin >= max(2 * q, STRETCH - q):
+                keep[begin + q : end + q] = False
+    return words[keep]
+
+
 def sketch(words: np.ndarray) -> np.ndarray:
     """One number for each slot; none for a text without words."""
     grams = kmers(words)
@@ -128,7 +145,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"), batch.column("key"),
                 pa.array([len(w) for w in words], pa.int32()),
-                pa.array([sketch(w) for w in words], pa.list_(pa.int64())),
+                pa.array([sketch(without_rounds(w)) for w in words], pa.list_(pa.int64())),
                 pa.array([signature(w) for w in words], pa.list_(pa.int64())),
             ],
             names=["doc_id", "key", "n_words", "slots", "bits"],
@@ -302,11 +319,13 @@ def texts_of(docs: DataFrame, text: str, id_col: str) -> DataFrame:
 
 def words_of_nodes(base: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words) of the wanted nodes: the texts are read once for all
-    alignments, and each travels as numbers."""
-    asked = bounded(wanted.select("node").distinct().join(nodes.select("node", "key"), "node"))
+    alignments, copies become one before they are shuffled, and each travels as
+    numbers from then on."""
+    asked = wanted.select("node").distinct().join(nodes.select("node", "key"), "node")
+    texts = base.groupBy("key").agg(F.first("__text").alias("__text"))
     return materialise(
-        base.join(asked, "key").select("node", "__text")
-        .mapInArrow(_word_numbers, "node long, words array<int>").dropDuplicates(["node"]),
+        texts.join(asked.hint("merge"), "key").select("node", "__text")
+        .mapInArrow(_word_numbers, "node long, words array<int>"),
         "words",
     )
 
@@ -365,9 +384,10 @@ def near_duplicates(
         "nodes",
     )
     # one row of each text; texts with an equal value share k-mers, in whatever slot
-    once = materialise(rows.join(nodes.select("key", "__row", "node"), ["key", "__row"]).select("node", "slots"), "texts")
+    chosen = nodes.select("key", "__row", "node").hint("merge")
+    once = materialise(rows.join(chosen, ["key", "__row"]).select("node", "slots"), "texts")
     held = once.select("node", F.explode(F.array_distinct("slots")).alias("value"))
-    shared = held.groupBy("value").agg(F.min("node").alias("p"), F.max("node").alias("q")).where("p < q").select("value")
+    shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("value")
     buckets = materialise(held.join(shared, "value", "left_semi"), "buckets")
 
     def possible(pairs: DataFrame) -> DataFrame:

@@ -416,6 +416,23 @@ def test_texts_with_scattered_edits_are_candidates(share, least):
     assert hits >= least * 150
 
 
+def test_only_the_first_round_of_a_filler_has_kmers():
+    number = lambda ws: words.word_hashes([" ".join(ws)])[0]
+    for some, want in [
+        (["a"] * 12, ["a"]), (["a"] * 9, ["a"] * 9), (["x"] + ["a", "b"] * 5 + ["y"], ["x", "a", "b", "y"]),
+        (["a", "b"] * 5 + ["a"], ["a", "b"]), (list("abcde") * 2, list("abcde") * 2), (list("abcde") * 3, list("abcde")),
+        (list("abcdef") * 3, list("abcdef") * 3), ([], []), (["a"], ["a"]),
+    ]:
+        assert list(near_dedup.without_rounds(number(some))) == list(number(want))
+    rng = random.Random(31)
+    sketch = lambda ws: near_dedup.sketch(near_dedup.without_rounds(number(ws)))
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(150)] for _ in range(30)]
+    filled = [sketch(x + ["a", "b"] * 270) for x in own]
+    assert not any((x == y).any() for n, x in enumerate(filled) for y in filled[:n])
+    copies = [sketch(with_share_replaced(rng, x + ["a", "b"] * 270, 0.05)) for x in own]
+    assert all((x == y).any() for x, y in zip(filled, copies))
+
+
 def test_tested_links_connect_a_class_and_are_no_more_than_its_pairs(spark):
     rng = random.Random(6)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
