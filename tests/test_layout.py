@@ -17,7 +17,7 @@ def _staged(spark):
     return {n.rsplit("-", 1)[0] for n in os.listdir(root)} if os.path.isdir(root) else set()
 
 
-@pytest.mark.parametrize("name", ["population_rows", "income_rows"])
+@pytest.mark.parametrize("name", ["population_rows", "income_rows", "cohort_rows"])
 def test_rows_are_grouped_where_they_are_made(spark, name):
     df = all_queries()[name][0](spark, TABLES)
     df.collect()
