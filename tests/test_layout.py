@@ -12,9 +12,9 @@ TABLES = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="given tables not present")
 
 
-def _staged(spark):
+def _folders(spark):
     root = staging_root(spark)
-    return {n.rsplit("-", 1)[0] for n in os.listdir(root)} if os.path.isdir(root) else set()
+    return os.listdir(root) if os.path.isdir(root) else []
 
 
 @pytest.mark.parametrize("name", ["population_rows", "income_rows", "cohort_rows"])
@@ -24,3 +24,11 @@ def test_rows_are_grouped_where_they_are_made(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[scenario" in plan
     assert "Exchange hashpartitioning(scenario" not in plan
+
+
+@pytest.mark.parametrize("name", ["panel_plain"])
+def test_panel_rows_are_not_staged(spark, name):
+    before = set(_folders(spark))
+    all_queries()[name][0](spark, TABLES).collect()
+    new = {n.rsplit("-", 1)[0] for n in set(_folders(spark)) - before}
+    assert new and not new & {"panel", "history", "baseline"}
