@@ -26,7 +26,7 @@ def test_rows_are_grouped_where_they_are_made(spark, name):
     assert "Exchange hashpartitioning(scenario" not in plan
 
 
-@pytest.mark.parametrize("name", ["panel_plain"])
+@pytest.mark.parametrize("name", ["panel_plain", "panel_reconciled", "panel_from_files", "panel_gates", "comparison_run"])
 def test_panel_rows_are_not_staged(spark, name):
     before = set(_folders(spark))
     all_queries()[name][0](spark, TABLES).collect()
