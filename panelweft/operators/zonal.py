@@ -8,6 +8,9 @@ an edge crosses. Cells between them are inside or outside as a whole: there the
 edges that cross the middle of the row are counted, in whole numbers, so that
 nothing has to be rounded away. Holes run against their outer ring and so
 subtract themselves.
+
+Edges are spread over tasks by the number of their pieces, and dealt by region and
+row before they are cut into columns: what a task holds does not grow with the input.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from panelweft.functions.columns import as_col
 from panelweft.functions.geo import SPHERE_RADIUS_KM, cell_area_km2, lune_excess, snapped, twice_area
 from panelweft.operators.quantiles import exact_quantiles
+from panelweft.scale import Observed, materialise, tasks_of
 
 CELL = ["cell_row", "cell_col"]
+PIECES_PER_TASK = 1 << 18  # of edges, cut at rows and columns
 TWICE = 1e-9  # by how much a share must exceed 1 to mean covered twice
 
 
@@ -102,6 +107,13 @@ def coverage_runs(rings: DataFrame, grid: Grid, region: str = "region") -> DataF
         grid.y("lat1").alias("y1"),
     )
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    # an edge has at most as many pieces as it touches rows and columns
+    rows, cols = (F.abs(F.floor(b) - F.floor(a)) + 1 for a, b in ((y0, y1), (x0, x1)))
+    pieces = F.sum(F.least(rows, F.lit(grid.n_rows)) + F.least(cols, F.lit(grid.n_cols)))
+    seen = Observed(pieces=pieces)
+    edges = materialise(edges, "edges", seen)
+    n = tasks_of(rings.sparkSession, seen.values["pieces"] or 0, PIECES_PER_TASK)
+    edges = edges.repartition(n, *edges.columns)
 
     # cut at the row lines
     top = F.greatest(F.floor(F.least(y0, y1)), F.lit(0)).cast("int")
@@ -126,7 +138,7 @@ def coverage_runs(rings: DataFrame, grid: Grid, region: str = "region") -> DataF
         (yb - ya).alias("dy"),
         F.coalesce(wind, F.lit(0)).alias("wind"),
         F.floor(x0 + (middle - y0) * slope).alias("at_middle"),
-    )
+    ).repartition(n, region, "cell_row")
 
     # cut at the column lines; column -1 stands for everything left of the grid
     xa, xb = F.col("xa"), F.col("xb")

@@ -227,3 +227,15 @@ def test_sums_by_runs_equal_sums_by_cells(spark):
     # joined rows follow the outline: boundary cells and runs, not all covered cells
     n_runs, n_cells = runs.count(), zonal.coverage_fraction(rings, grid).count()
     assert n_runs * 2 < n_cells
+
+
+def test_pieces_of_edges_are_spread_by_their_number(spark, monkeypatch):
+    # shuffle partitions are few, or few are left of them: the tasks are as many as the
+    # pieces ask for, and no task has many more than its share
+    monkeypatch.setattr(zonal, "PIECES_PER_TASK", 2000, raising=False)
+    grid = Grid(0.0, 40.0, 0.5, 0.5, 80, 80)
+    square = F.array(*[F.struct(F.lit(k).alias("seq"), (F.col("id") % 10 + x).alias("lon"), (F.col("id") % 7 + y).alias("lat"))
+                       for k, (x, y) in enumerate([(0.3, 0.1), (0.1, 20.1), (20.3, 20.3), (20.1, 0.2)])])
+    rings = spark.range(200).select(F.concat(F.lit("r"), "id").alias("region"), F.lit(0).alias("ring_id"), F.inline(square))
+    sizes = [r["count"] for r in zonal.coverage_runs(rings, grid).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 3 * sum(sizes) / len(sizes)
