@@ -5,7 +5,8 @@ import os
 
 import pytest
 
-from panelweft.catalog import all_queries
+from panelweft.catalog import all_queries, world
+from panelweft.plans.config import REGION_TABLES, as_given, by_region
 from panelweft.scale import staging_root
 
 TABLES = "/root/testdata/sf0.001"
@@ -32,3 +33,14 @@ def test_panel_rows_are_not_staged(spark, name):
     all_queries()[name][0](spark, TABLES).collect()
     new = {n.rsplit("-", 1)[0] for n in set(_folders(spark)) - before}
     assert new and not new & {"panel", "history", "baseline"}
+
+
+@pytest.mark.parametrize("table", REGION_TABLES)
+def test_regions_are_shuffled_before_their_years(spark, table):
+    tables = by_region(world.sources(spark, TABLES))
+    laid_out = getattr(tables, table)
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange hashpartitioning(hierid") == 1
+    assert "Generate" not in plan[plan.index("Exchange "):]
+    given = getattr(as_given(tables), table)
+    assert laid_out.exceptAll(given).isEmpty() and given.exceptAll(laid_out).isEmpty()
