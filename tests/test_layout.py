@@ -44,3 +44,9 @@ def test_regions_are_shuffled_before_their_years(spark, table):
     assert "Generate" not in plan[plan.index("Exchange "):]
     given = getattr(as_given(tables), table)
     assert laid_out.exceptAll(given).isEmpty() and given.exceptAll(laid_out).isEmpty()
+
+
+def test_weights_of_regions_need_no_hash_table(spark):
+    # a task joins them in several branches, and each table stays until the task ends
+    df = all_queries()["income_rows"][0](spark, TABLES)
+    assert "ShuffledHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
