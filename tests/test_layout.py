@@ -5,9 +5,11 @@ import os
 
 import pytest
 
+from panelweft import scale
 from panelweft.catalog import all_queries, world
+from panelweft.plans import panel as whole
 from panelweft.plans.config import REGION_TABLES, as_given, by_region
-from panelweft.scale import staging_root
+from panelweft.scale import shared_partitioning, staging_root
 
 TABLES = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="given tables not present")
@@ -50,3 +52,44 @@ def test_weights_of_regions_need_no_hash_table(spark):
     # a task joins them in several branches, and each table stays until the task ends
     df = all_queries()["income_rows"][0](spark, TABLES)
     assert "ShuffledHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+class Seen(Exception):
+    pass
+
+
+def _small_parts(monkeypatch):
+    for module in (scale, world):
+        monkeypatch.setattr(module, "ROWS_PER_TASK", 64)
+
+
+@pytest.mark.parametrize(
+    "name, module, sums",
+    [("panel_gates", whole, "country_sums")],
+)
+def test_country_sums_take_parts_of_regions_in_turn(spark, monkeypatch, name, module, sums):
+    _small_parts(monkeypatch)
+    plans = []
+
+    def seen(panel, *args, **kwargs):
+        plans.append(panel._jdf.queryExecution().executedPlan().toString())
+        raise Seen
+
+    monkeypatch.setattr(module, sums, seen)
+    with pytest.raises(Seen):
+        all_queries()[name][0](spark, TABLES)
+    cores = spark.sparkContext.defaultParallelism
+    assert scale.tasks_of(spark, 33 * 150, 64) > 2 * cores
+    assert f"Coalesce {max(2 * cores, 5)}" in plans[0]
+    # the tables of hash joins would stay in memory until the last of the parts
+    assert "ShuffledHashJoin" not in plans[0]
+
+
+def test_parts_in_turn_are_the_whole_panel(spark, monkeypatch):
+    _small_parts(monkeypatch)
+    with shared_partitioning(spark):
+        each = whole.panel_layouts(world.sources(spark, TABLES), world.RECONCILED)
+        by_part, in_turn = (sorted(map(tuple, world._national_sums(p).collect()), key=str) for p in each)
+    assert len(by_part) == len(in_turn) > 20000
+    assert [r[:7] for r in by_part] == [r[:7] for r in in_turn]
+    assert all(a[7:] == pytest.approx(b[7:], abs=1e-6) for a, b in zip(by_part, in_turn))
