@@ -65,7 +65,7 @@ def _small_parts(monkeypatch):
 
 @pytest.mark.parametrize(
     "name, module, sums",
-    [("panel_gates", whole, "country_sums")],
+    [("panel_from_files", world, "_national_sums"), ("panel_reconciled", world, "_national_sums"), ("panel_gates", whole, "country_sums")],
 )
 def test_country_sums_take_parts_of_regions_in_turn(spark, monkeypatch, name, module, sums):
     _small_parts(monkeypatch)
